@@ -1,0 +1,118 @@
+"""Raw, trusted and delivery layers, loaded in order."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+
+from entiva.operators.shape import add_constants, union_by_name
+from entiva.plans.delivery import indicator_table, master_table
+from entiva.plans.trusted import (
+    COMPLAINT_COLUMNS,
+    REGISTRY_SOURCE,
+    REVIEW_COLUMNS,
+    trusted_complaints,
+    trusted_registry,
+    trusted_reviews,
+)
+from entiva.sources.readers import read_delimited, read_layer
+from entiva.sources.writers import write_layer
+
+# Names of the layers, of their datasets, and of files without data.
+RAW, TRUSTED, DELIVERY = "raw", "trusted", "delivery"
+REGISTRY, REVIEWS, COMPLAINTS = "bancos", "empregados", "reclamacoes"
+MASTER, INDICATORS = "banco_final", "bancos_indicadores"
+NO_DATA = "nao_ha_dados"
+
+_REVIEW_COMMON = [c for c in REVIEW_COLUMNS if c not in ("segmento", "cnpj")]
+_TAIL = _REVIEW_COMMON.index("nome")
+REVIEWS_WITH_SEGMENT = [*_REVIEW_COMMON[:_TAIL], "segmento", *_REVIEW_COMMON[_TAIL:]]
+REVIEWS_WITH_ID = [*_REVIEW_COMMON[:_TAIL], "cnpj", *_REVIEW_COMMON[_TAIL:]]
+
+
+@dataclass(frozen=True)
+class SourceFiles:
+    """Where the three sources lie. The two review files differ in their 21st column."""
+
+    registry: str
+    reviews_with_segment: str
+    reviews_with_id: str
+    complaints: str
+    glob: str = "*.csv"
+    recursive: bool = False
+    provenance_from: Column | None = None
+
+
+def raw_registry(spark: SparkSession, files: SourceFiles) -> DataFrame:
+    return read_delimited(spark, files.registry, REGISTRY_SOURCE, sep="\t")
+
+
+def raw_reviews(spark: SparkSession, files: SourceFiles) -> DataFrame:
+    """Both review files as one table of 24 columns and ``origem``."""
+    with_segment = read_delimited(spark, files.reviews_with_segment, REVIEWS_WITH_SEGMENT, sep="|")
+    with_id = read_delimited(spark, files.reviews_with_id, REVIEWS_WITH_ID, sep="|")
+    united = union_by_name(
+        [
+            add_constants(with_segment, {"origem": "match_v2"}),
+            add_constants(with_id, {"origem": "match_less"}),
+        ]
+    )
+    return united.select(*REVIEW_COLUMNS, "origem")
+
+
+def raw_complaints(spark: SparkSession, files: SourceFiles) -> DataFrame:
+    """All quarterly files as one table, with the file each row came from."""
+    return read_delimited(
+        spark,
+        files.complaints,
+        COMPLAINT_COLUMNS,
+        sep=";",
+        encoding="ISO-8859-1",
+        phantom="_trailing",
+        glob=files.glob,
+        exclude=NO_DATA,
+        recursive=files.recursive,
+        provenance="origem_arquivo",
+        provenance_from=files.provenance_from,
+    )
+
+
+def run_raw(spark: SparkSession, files: SourceFiles, base: str) -> None:
+    write_layer(raw_registry(spark, files), base, RAW, REGISTRY)
+    write_layer(raw_reviews(spark, files), base, RAW, REVIEWS)
+    write_layer(raw_complaints(spark, files), base, RAW, COMPLAINTS)
+
+
+def run_trusted(spark: SparkSession, base: str, rule: str = "literal") -> None:
+    cleaners = {
+        REGISTRY: trusted_registry, REVIEWS: trusted_reviews, COMPLAINTS: trusted_complaints
+    }
+    for name, clean in cleaners.items():
+        write_layer(clean(read_layer(spark, base, RAW, name), rule), base, TRUSTED, name)
+
+
+def run_delivery(
+    spark: SparkSession, base: str, layouts: Sequence[str] = (MASTER, INDICATORS)
+) -> None:
+    builders = {MASTER: master_table, INDICATORS: indicator_table}
+    registry, reviews, complaints = (
+        read_layer(spark, base, TRUSTED, name) for name in (REGISTRY, REVIEWS, COMPLAINTS)
+    )
+    for layout in layouts:
+        write_layer(builders[layout](registry, reviews, complaints), base, DELIVERY, layout)
+
+
+def run_all(
+    spark: SparkSession,
+    files: SourceFiles,
+    base: str,
+    *,
+    rule: str = "literal",
+    layouts: Sequence[str] = (MASTER, INDICATORS),
+) -> None:
+    """Run the layers in order. An error stops the run, so no layer is built on a broken one."""
+    run_raw(spark, files, base)
+    run_trusted(spark, base, rule)
+    run_delivery(spark, base, layouts)
