@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entiva.functions.folding import fold_compatibility, fold_listed
@@ -19,8 +19,8 @@ def _as_text(c: Column) -> Column:
 
 
 def _alphanumeric(c: Column) -> Column:
-    cleaned = F.regexp_replace(c, "[^A-Z0-9 ]", "")
-    return F.trim(F.regexp_replace(cleaned, " +", " "))
+    cleaned = F.regexp_replace(c, "[^A-Z0-9 ]+", "")
+    return F.trim(F.regexp_replace(cleaned, "  +", " "))
 
 
 def normalize_name(c: Column) -> Column:
@@ -48,8 +48,9 @@ def normalize_id(c: Column) -> Column:
 
 def key_present(c: Column) -> Column:
     """True when a key is neither null nor empty, never null itself (safe to negate)."""
-    return c.isNotNull() & (F.coalesce(c, F.lit("")) != "")
+    return c.isNotNull() & (c != "")
 
 
-def key_or_null(c: Column) -> Column:
-    return F.when(key_present(c), c)
+def only_keyed(df: DataFrame, key: str) -> DataFrame:
+    """The rows that have the key. As a filter, a comparison with ``""`` is enough."""
+    return df.filter(F.col(key) != "")

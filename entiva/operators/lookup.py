@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entiva.functions.keys import key_present
+from entiva.functions.keys import key_present, only_keyed
 from entiva.operators.dedup import keep_first
 
 # Buckets over which the rows of one frequent (or missing) key are spread.
@@ -23,7 +23,7 @@ def frequent_keys(df: DataFrame, key: str, parts: int = FREQUENT_PARTS) -> list[
     Uses a mergeable sketch, so a task sends a fixed-size summary. A false entry or a miss
     only changes how rows are spread, never a result.
     """
-    keyed = df.filter(key_present(F.col(key)))
+    keyed = only_keyed(df, key)
     summary = keyed.agg(
         F.count(F.lit(1)).alias("n"),
         F.expr(f"approx_top_k(`{key}`, {parts}, {parts * 50})").alias("top"),
@@ -53,7 +53,7 @@ def _left_text(left: DataFrame, key: str, frequent: Sequence[str]) -> Column:
 def _right_text(right: DataFrame, key: str, frequent: Sequence[str]) -> DataFrame:
     """The keyed right rows with their text; rows of frequent keys occur once per salt."""
     text = F.col(key).cast("string")
-    keyed = right.filter(key_present(text))
+    keyed = only_keyed(right, key)
     if frequent:
         every_salt = F.transform(
             F.sequence(F.lit(0), F.lit(SPREAD - 1)),
@@ -81,7 +81,7 @@ def _spread_join(
 
 def one_per_key(df: DataFrame, key: str, order: Sequence[Column | str] = ()) -> DataFrame:
     """The lookup side of a join: keyed rows only, one per key."""
-    return keep_first(df.filter(key_present(F.col(key))), [key], order)
+    return keep_first(only_keyed(df, key), [key], order)
 
 
 def lookup(
@@ -105,8 +105,7 @@ def lookup(
 
 def matched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left rows whose key occurs on the right."""
-    keyed = left.filter(key_present(F.col(key)))
-    return keyed.join(right.select(key).filter(key_present(F.col(key))), key, "left_semi")
+    return only_keyed(left, key).join(only_keyed(right.select(key), key), key, "left_semi")
 
 
 def unmatched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entiva.functions.aliases import resolve_aliases
-from entiva.functions.keys import key_present
+from entiva.functions.keys import only_keyed
 from entiva.functions.similarity import levenshtein_allowance, levenshtein_score
 from entiva.operators.assign import one_to_one
 from entiva.session import Workspace
@@ -34,7 +34,7 @@ STRICT_STEPS = (90,)
 
 def distinct_names(df: DataFrame, name: str, aliases: Mapping[str, str] | None = None) -> DataFrame:
     """Distinct non-empty names with the text to compare: their canonical form."""
-    names = df.select(F.col(name).alias("name")).filter(key_present(F.col("name"))).distinct()
+    names = only_keyed(df.select(F.col(name).alias("name")), "name").distinct()
     return resolve_aliases(names, "name", "text", aliases)
 
 

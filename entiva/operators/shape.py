@@ -78,15 +78,12 @@ def cast_losses(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 def require_widths(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:
     """Fail the job on text longer than its declared width; nothing is cut silently."""
-    return df.withColumns(
-        {
-            name: F.when(
-                F.length(name) > width,
-                F.raise_error(F.concat(F.lit(f"{name} exceeds {width} characters: "), F.col(name))),
-            ).otherwise(F.col(name))
-            for name, width in widths.items()
-        }
-    )
+    checked = {}
+    for name, width in widths.items():
+        message = F.concat(F.lit(f"{name} exceeds {width} characters: "), F.col(name))
+        too_long = F.length(name) > width
+        checked[name] = F.when(too_long, F.raise_error(message)).otherwise(F.col(name))
+    return df.withColumns(checked)
 
 
 def width_report(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entiva.functions.keys import key_present
+from entiva.functions.keys import key_present, only_keyed
 from entiva.functions.numbers import mean_of_fixed_point, ratio
 from entiva.operators.aggregate import (
     ID,
@@ -138,7 +138,7 @@ class _Builder:
         self.metrics_by_name = branch(self.metrics, NAME, NAME_KEY).select(
             NAME_KEY, *self.metric_names
         )
-        self.reviews_by_id = self.reviews.filter(key_present(F.col(TAX_ID))).drop(NAME_KEY)
+        self.reviews_by_id = only_keyed(self.reviews, TAX_ID).drop(NAME_KEY)
         # A name may occur with an id and without one; the row with an id wins.
         self.reviews_by_name = one_per_key(
             self.reviews, NAME_KEY, order=[~key_present(F.col(TAX_ID))]

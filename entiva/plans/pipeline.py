@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from entiva.operators.shape import add_constants, union_by_name
+from entiva.operators.shape import add_constants, union_by_name, width_report
 from entiva.plans.delivery import indicator_table, master_table
 from entiva.plans.trusted import (
     COMPLAINT_COLUMNS,
+    KEY_WIDTHS,
     REGISTRY_SOURCE,
     REVIEW_COLUMNS,
     trusted_complaints,
@@ -68,6 +69,7 @@ def raw_complaints(spark: SparkSession, files: SourceFiles) -> DataFrame:
         spark,
         files.complaints,
         COMPLAINT_COLUMNS,
+    KEY_WIDTHS,
         sep=";",
         encoding="ISO-8859-1",
         phantom="_trailing",
@@ -91,6 +93,14 @@ def run_trusted(spark: SparkSession, base: str, rule: str = "literal") -> None:
     }
     for name, clean in cleaners.items():
         write_layer(clean(read_layer(spark, base, RAW, name), rule), base, TRUSTED, name)
+        _check_key_widths(read_layer(spark, base, TRUSTED, name), name)
+
+
+def _check_key_widths(stored: DataFrame, name: str) -> None:
+    """Stop the run if a stored key is longer than declared. Reads the key columns only."""
+    too_long = {k: n for k, n in width_report(stored, KEY_WIDTHS).first().asDict().items() if n}
+    if too_long:
+        raise ValueError(f"{name} holds keys longer than {KEY_WIDTHS}: {too_long}")
 
 
 def run_delivery(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from entiva.functions.keys import normalize_id, normalize_name, normalize_name_by_pattern
 from entiva.functions.numbers import parse_decimal_comma, to_double, to_long
-from entiva.operators.shape import rename_positional, require_widths, select_renamed
+from entiva.operators.shape import rename_positional, select_renamed
 
 # Canonical column names of the three sources, by position.
 REGISTRY_SOURCE = ["Segmento", "CNPJ", "Nome"]
@@ -63,11 +63,10 @@ NAME_RULES: dict[str, Callable[[Column], Column]] = {
 
 
 def with_keys(df: DataFrame, name: str, tax_id: str, rule: str = "literal") -> DataFrame:
-    """Add ``nome_norm`` and ``cnpj_norm``; a key longer than its width fails the job."""
-    keyed = df.withColumns(
+    """Add ``nome_norm`` and ``cnpj_norm``. ``KEY_WIDTHS`` is checked once they are stored."""
+    return df.withColumns(
         {"nome_norm": NAME_RULES[rule](F.col(name)), "cnpj_norm": normalize_id(F.col(tax_id))}
     )
-    return require_widths(keyed, KEY_WIDTHS)
 
 
 def trusted_registry(raw: DataFrame, rule: str = "literal") -> DataFrame:
