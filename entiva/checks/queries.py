@@ -44,6 +44,7 @@ from entiva.operators.match import (
     exact_canonical_pairs,
     levenshtein_pairs,
 )
+from entiva.operators.weighted import weighted_best
 from entiva.operators.shape import (
     add_constants,
     drop_all_null,
@@ -486,6 +487,15 @@ def match_fuzzy_levenshtein(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def match_fuzzy_wratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = part_names(spark, sf_dir)
+    workspace = Workspace(spark)
+    return weighted_best(
+        workspace.keep(left, "left"), workspace.keep(right, "right"), 80, workspace, "parts"
+    )
+
+
 @query
 def match_one_to_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "supplier").select(normalize_name(F.col("s_name")).alias("name"))

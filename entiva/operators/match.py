@@ -10,7 +10,7 @@ nearly every name holds out of the join. The filter loses no pair.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +32,10 @@ LOWEST_CUTOFF = 75
 STRICT_STEPS = (90,)
 
 
+# A one-to-one matcher: (left, right, cutoff, workspace, label) to left, right and score.
+Matcher = Callable[[DataFrame, DataFrame, int, Workspace, str], DataFrame]
+
+
 def distinct_names(df: DataFrame, name: str, aliases: Mapping[str, str] | None = None) -> DataFrame:
     """Distinct non-empty names with the text to compare: their canonical form."""
     names = only_keyed(df.select(F.col(name).alias("name")), "name").distinct()
@@ -54,14 +58,8 @@ def exact_canonical_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     return lefts.join(rights, "text").select(F.inline(zipped))
 
 
-def _numbered_grams(text: Column) -> Column:
-    """Trigram keys of the padded text; the k-th repeat of a trigram is its own key."""
-    pad = GRAM - 1
-    padded = F.concat(F.lit(START * pad), text, F.lit(END * pad))
-    grams = F.transform(
-        F.sequence(F.lit(1), F.length(text) + F.lit(pad)),
-        lambda i: F.substring(padded, i, F.lit(GRAM)),
-    )
+def numbered(grams: Column) -> Column:
+    """Keys for an array of grams; the k-th repeat of a gram gets a key of its own."""
     return F.transform(
         grams,
         lambda gram, i: F.xxhash64(
@@ -70,21 +68,39 @@ def _numbered_grams(text: Column) -> Column:
     )
 
 
-def _with_grams(names: DataFrame) -> DataFrame:
-    """One row per name and trigram, spread by name so that regrouping by name is local.
+def _trigrams(text: Column) -> Column:
+    pad = GRAM - 1
+    padded = F.concat(F.lit(START * pad), text, F.lit(END * pad))
+    return F.transform(
+        F.sequence(F.lit(1), F.length(text) + F.lit(pad)),
+        lambda i: F.substring(padded, i, F.lit(GRAM)),
+    )
+
+
+def spread_names(names: DataFrame) -> DataFrame:
+    """Names spread by name and text, so that regrouping their grams needs no shuffle.
 
     Work per name is heavy and the table is small, so the partition count is set here
     instead of being coalesced by size.
     """
     parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = names.repartition(parts, "name", "text")
-    return spread.select("name", "text", F.explode(_numbered_grams(F.col("text"))).alias("gram"))
+    return names.repartition(parts, "name", "text")
 
 
-def _bucket(gram: Column) -> Column:
+def bucket(gram: Column) -> Column:
     return F.pmod(gram, F.lit(FREQUENCY_BUCKETS))
 
 
+def gram_frequencies(a: DataFrame, b: DataFrame) -> DataFrame:
+    """How often the grams of each hash bucket occur; at most ``FREQUENCY_BUCKETS`` rows."""
+    return (
+        a.select("gram")
+        .unionAll(b.select("gram"))
+        .groupBy(bucket(F.col("gram")).alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def _prefixes(grams: DataFrame, frequencies: DataFrame, cutoff: int) -> DataFrame:
     """One row per name and rarest trigram, with the whole prefix alongside."""
     longest_partner = F.floor(F.length("text") * F.lit(100) / F.lit(cutoff))
@@ -92,7 +108,7 @@ def _prefixes(grams: DataFrame, frequencies: DataFrame, cutoff: int) -> DataFram
     rarest_first = F.array_sort(F.collect_list(F.struct("n", "gram")))
     prefix = F.slice("ordered", F.lit(1), size)
     return (
-        grams.withColumn("bucket", _bucket(F.col("gram")))
+        grams.withColumn("bucket", bucket(F.col("gram")))
         .join(F.broadcast(frequencies), "bucket")
         .groupBy("name", "text")
         .agg(rarest_first.alias("ordered"))
@@ -112,13 +128,14 @@ def levenshtein_pairs(
     """
     if not LOWEST_CUTOFF <= cutoff <= 100:
         raise ValueError(f"cutoff {cutoff} is not between {LOWEST_CUTOFF} and 100")
-    left_grams, right_grams = _with_grams(left), _with_grams(right)
+    left_grams, right_grams = (
+        spread_names(names).select(
+            "name", "text", F.explode(numbered(_trigrams(F.col("text")))).alias("gram")
+        )
+        for names in (left, right)
+    )
     frequencies = workspace.keep(
-        left_grams.select("gram")
-        .unionAll(right_grams.select("gram"))
-        .groupBy(_bucket(F.col("gram")).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n")),
-        f"{label}-frequencies",
+        gram_frequencies(left_grams, right_grams), f"{label}-frequencies"
     )
     a = _prefixes(left_grams, frequencies, cutoff).alias("a")
     b = _prefixes(right_grams, frequencies, cutoff).alias("b")
@@ -155,42 +172,77 @@ def match_names(
     workspace: Workspace,
     label: str,
     aliases: Mapping[str, str] | None = None,
+    matcher: Matcher | None = None,
 ) -> DataFrame:
     """Give each distinct left name at most one right name; no right name is given twice.
 
-    Equal canonical names are paired first. Then similar names are paired best first, in
-    steps from strict to loose. All pairs of a step score more than any pair that only a
-    later step finds, so the steps give what one best-first pass over all pairs would.
-    Returns ``name``, ``candidate``, ``kind`` (alias or similar) and ``score``.
+    Equal canonical names are paired first. Then ``matcher`` pairs similar names, best
+    first; the default scores by edit distance. Returns ``name``, ``candidate``, ``kind``
+    (alias or similar) and ``score``.
+    """
+    lefts = workspace.keep(distinct_names(left, name, aliases), f"{label}-left")
+    rights = workspace.keep(distinct_names(right, name, aliases), f"{label}-right")
+    exact = workspace.keep(
+        exact_canonical_pairs(lefts, rights).withColumn("score", F.lit(100.0)), f"{label}-alias"
+    )
+    similar = (matcher or levenshtein_matcher)(
+        without(lefts, exact, "left"), without(rights, exact, "right"), cutoff, workspace, label
+    )
+    return (
+        exact.withColumn("kind", F.lit("alias"))
+        .unionByName(similar.withColumn("kind", F.lit("similar")))
+        .select(F.col("left").alias(name), F.col("right").alias("candidate"), "kind", "score")
+    )
+
+
+def levenshtein_matcher(
+    left: DataFrame, right: DataFrame, cutoff: int, workspace: Workspace, label: str
+) -> DataFrame:
+    """One-to-one matching by edit distance, in steps from strict to loose cutoffs.
+
+    All pairs of a step score more than any pair that only a later step finds, so the steps
+    give what one best-first pass over all pairs would, but only names without a strict
+    match take part in the costly loose step.
     """
-    open_left = workspace.keep(distinct_names(left, name, aliases), f"{label}-left-0")
-    open_right = workspace.keep(distinct_names(right, name, aliases), f"{label}-right-0")
-    found = [
-        workspace.keep(
-            exact_canonical_pairs(open_left, open_right).withColumns(
-                {"score": F.lit(100), "kind": F.lit("alias")}
-            ),
-            f"{label}-alias",
-        )
-    ]
     steps = [s for s in STRICT_STEPS if s > cutoff] + [cutoff]
-    for step in steps:
-        open_left = workspace.keep(_without(open_left, found[-1], "left"), f"{label}-left-{step}")
-        open_right = workspace.keep(
-            _without(open_right, found[-1], "right"), f"{label}-right-{step}"
-        )
-        if open_left.isEmpty() or open_right.isEmpty():
-            break
-        pairs = levenshtein_pairs(
-            open_left, open_right, step, workspace, f"{label}-{step}"
-        )
-        found.append(
-            one_to_one(pairs, workspace, f"{label}-{step}").withColumn("kind", F.lit("similar"))
-        )
-    return reduce(DataFrame.unionByName, found).select(
-        F.col("left").alias(name), F.col("right").alias("candidate"), "kind", "score"
+    return match_in_steps(
+        left,
+        right,
+        [
+            lambda a, b, step=step: one_to_one(
+                levenshtein_pairs(a, b, step, workspace, f"{label}-{step}"),
+                workspace,
+                f"{label}-{step}",
+            )
+            for step in steps
+        ],
+        workspace,
+        label,
     )
 
 
-def _without(names: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
+def match_in_steps(
+    left: DataFrame,
+    right: DataFrame,
+    steps: Sequence[Callable[[DataFrame, DataFrame], DataFrame]],
+    workspace: Workspace,
+    label: str,
+) -> DataFrame:
+    """Run one-to-one steps in turn, each over the names that earlier steps left open."""
+    found: list[DataFrame] = []
+    for number, step in enumerate(steps):
+        if found:
+            left, right = without(left, found[-1], "left"), without(right, found[-1], "right")
+        left = workspace.keep(left, f"{label}-open-left-{number}")
+        right = workspace.keep(right, f"{label}-open-right-{number}")
+        pairs = step(left, right) if not (left.isEmpty() or right.isEmpty()) else None
+        if pairs is None:
+            break
+        found.append(pairs.withColumn("score", F.col("score").cast("double")))
+    if not found:
+        return left.sparkSession.createDataFrame([], "left string, right string, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def without(names: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
     return names.join(pairs.select(F.col(side).alias("name")), "name", "left_anti")

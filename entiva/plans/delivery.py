@@ -26,7 +26,7 @@ from entiva.operators.lookup import (
     prefixed,
     unmatched,
 )
-from entiva.operators.match import match_names
+from entiva.operators.match import Matcher, match_names
 from entiva.operators.shape import select_renamed
 from entiva.plans.trusted import RATING_COLUMNS
 from entiva.session import Workspace
@@ -116,9 +116,11 @@ class _Builder:
         workspace: Workspace | None,
         aliases: Mapping[str, str] | None,
         dedup_registry_by: str,
+        matcher: Matcher | None,
     ):
         self.workspace = workspace or Workspace(registry.sparkSession)
         self.aliases = aliases
+        self.matcher = matcher
         self.metric_names = list(metric_names)
         self.registry = (
             dedup_by_name(registry, NAME_KEY)
@@ -175,6 +177,7 @@ class _Builder:
             name=NAME_KEY,
             cutoff=cutoff,
             aliases=self.aliases,
+            matcher=self.matcher,
             workspace=self.workspace,
             label=label,
         )
@@ -219,17 +222,19 @@ def master_table(
     aliases: Mapping[str, str] | None = None,
     exclude_used: bool = False,
     dedup_registry_by: str = "id",
+    matcher: Matcher | None = None,
     workspace: Workspace | None = None,
 ) -> DataFrame:
     """Full layout: figures by id, else by name, else by the best matching name.
 
     Complaints are aggregated over all rows of a name. With ``exclude_used`` a complaint
     name that equals some registry name is no candidate for a similar one. ``aliases``
-    defaults to the built-in table.
+    defaults to the built-in table, ``matcher`` to matching by edit distance; pass
+    ``weighted_matcher`` to match by the weighted ratio.
     """
     metrics = aggregate_by_both_keys(complaints, TAX_ID, NAME_KEY, complaint_measures())
     build = _Builder(
-        registry, reviews, metrics, FULL_METRICS, workspace, aliases, dedup_registry_by
+        registry, reviews, metrics, FULL_METRICS, workspace, aliases, dedup_registry_by, matcher
     )
     rows = build.exact(metrics_by_name=True)
     candidates = build.metrics_by_name
@@ -255,6 +260,7 @@ def indicator_table(
     review_cutoff: int = REVIEW_CUTOFF,
     aliases: Mapping[str, str] | None = None,
     dedup_registry_by: str = "id",
+    matcher: Matcher | None = None,
     workspace: Workspace | None = None,
 ) -> DataFrame:
     """Indicator layout: complaints with an id count by id, the others by matched name."""
@@ -262,7 +268,7 @@ def indicator_table(
         aggregate_by_either_key(complaints, TAX_ID, NAME_KEY, indicator_measures())
     )
     build = _Builder(
-        registry, reviews, metrics, INDICATOR_METRICS, workspace, aliases, dedup_registry_by
+        registry, reviews, metrics, INDICATOR_METRICS, workspace, aliases, dedup_registry_by, matcher
     )
     rows = build.exact(metrics_by_name=False)
     complaint_matches = build.match(
