@@ -69,7 +69,6 @@ def raw_complaints(spark: SparkSession, files: SourceFiles) -> DataFrame:
         spark,
         files.complaints,
         COMPLAINT_COLUMNS,
-    KEY_WIDTHS,
         sep=";",
         encoding="ISO-8859-1",
         phantom="_trailing",
