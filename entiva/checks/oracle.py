@@ -264,7 +264,7 @@ rated as (
   select p.*, f.geral as nota_geral
   from precedence p left join first_reviews f on f.nome_norm = p.nome_norm)"""
 _PART_NAME = norm_name("p_brand || ' ' || p_name")
-_SUPPLIER_NAME = norm_name("s_name")
+_CUSTOMER_NAME = norm_name("c_name")
 
 
 def _score(a: str, b: str) -> str:
@@ -272,6 +272,28 @@ def _score(a: str, b: str) -> str:
     return f"cast(({longer} - levenshtein({a}, {b})) * 100 // {longer} as integer)"
 
 
+def _greedy_rounds(rounds: int) -> str:
+    """Mutual best pairs, taken round by round; more rounds than the data needs."""
+    order = "order by score desc, tie, s, t"
+    steps = []
+    for n in range(rounds):
+        steps.append(f"""best{n} as materialized (
+  select s, t, score from (select *, row_number() over (partition by s {order}) as of_s,
+    row_number() over (partition by t {order}) as of_t from open{n}) where of_s = 1 and of_t = 1),
+open{n + 1} as materialized (
+  select * from open{n} where s not in (select s from best{n}) and t not in (select t from best{n}))
+""")
+    taken = " union all ".join(f"select * from best{n}" for n in range(rounds))
+    return ", ".join(steps) + f"select s as left, t as right, score from ({taken})"
+
+
+ONE_TO_ONE = f"""with r as (select distinct {_CUSTOMER_NAME} as t from customer),
+l as (select distinct substr(t, 1, length(t) - 1) as s from r),
+open0 as materialized (
+  select s, t, {_score("s", "t")} as score, substr(md5(s || chr(1) || t), 1, 15) as tie
+  from l, r where abs(length(s) - length(t)) <= 1 and {_score("s", "t")} >= 94),
+{_greedy_rounds(12)}"""
+
 SQL: dict[str, str] = {
     "src_delimited_text": f"""select {text("c_custkey")} as c_custkey, c_name, c_mktsegment
 from customer""",
@@ -390,23 +412,7 @@ l as (select distinct replace(replace(t, 'OL', 'LO'), 'RED', 'REDD') as s from r
 p as (select s, t, {_score("s", "t")} as score from l, r)
 select s as left, t as right, score from p where score >= 80
 qualify row_number() over (partition by s order by score desc, t) = 1""",
-    "match_one_to_one": f"""with recursive r as (select distinct {_SUPPLIER_NAME} as t from supplier),
-l as (select distinct replace(t, 'PL', 'LP') as s from r),
-p as (select s, t, {_score("s", "t")} as score from l, r),
-ranked as (select *, row_number() over (
-    order by score desc, substr(md5(s || chr(1) || t), 1, 15), s, t) as rn
-  from p where score >= 82),
-greedy as (
-  select cast(0 as bigint) as rn, cast([] as varchar[]) as ls, cast([] as varchar[]) as rs,
-    cast(null as varchar) as s, cast(null as varchar) as t, cast(null as integer) as score
-  union all
-  select k.rn, case when free then list_append(ls, k.s) else ls end,
-    case when free then list_append(rs, k.t) else rs end,
-    case when free then k.s end, case when free then k.t end, case when free then k.score end
-  from (select g.ls, g.rs, k.*,
-      not list_contains(g.ls, k.s) and not list_contains(g.rs, k.t) as free
-    from greedy g join ranked k on k.rn = g.rn + 1) k)
-select s as left, t as right, score from greedy where s is not null""",
+    "match_one_to_one": ONE_TO_ONE,
     "match_backfill": f"""with {REGISTRY}, {COMPLAINTS}, {DEDUP}, {BY_NAME},
 base as (select k.nome, k.nome_norm, {", ".join(f"n.{m}" for m in METRICS)}
   from kept k left join by_name n on n.nome_norm = k.nome_norm),

@@ -498,17 +498,17 @@ def match_fuzzy_wratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def match_one_to_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = table(spark, sf_dir, "supplier").select(normalize_name(F.col("s_name")).alias("name"))
-    left = distinct_names(names.select(F.regexp_replace("name", "PL", "LP").alias("name")), "name")
+    names = table(spark, sf_dir, "customer").select(normalize_name(F.col("c_name")).alias("name"))
+    left = distinct_names(names.select(F.regexp_replace("name", ".$", "").alias("name")), "name")
     workspace = Workspace(spark)
     pairs = levenshtein_pairs(
         workspace.keep(left, "left"),
         workspace.keep(distinct_names(names, "name"), "right"),
-        82,
+        94,
         workspace,
-        "suppliers",
+        "customers",
     )
-    return one_to_one(pairs, workspace, "suppliers")
+    return one_to_one(pairs, workspace, "customers")
 
 
 @query

@@ -23,14 +23,14 @@ def tie_break() -> Column:
 def one_to_one(pairs: DataFrame, workspace: Workspace, label: str) -> DataFrame:
     """Greedy best-first matching: no left and no right name is used twice.
 
-    Pairs (``left``, ``right``, ``score``) are ordered by score, then ``tie_break``, then
+    Pairs (``left``, ``right``, ``score``), each at most once, are ordered by score, then ``tie_break``, then
     the names. Each round takes the pairs that are the best of both their ends and drops
     every pair that touches a taken end. With a strict order this gives exactly what taking
     pairs one at a time would give, whatever the row order. Every round takes at least the
     best pair left, so the loop ends by itself when no pair remains.
     """
     remaining = workspace.keep(
-        pairs.select("left", "right", "score").distinct().withColumn("tie", tie_break()),
+        pairs.select("left", "right", "score").withColumn("tie", tie_break()),
         f"{label}-pairs-0",
     )
     rank = F.struct((-F.col("score")).alias("down"), "tie", "left", "right", "score")

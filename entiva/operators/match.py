@@ -113,7 +113,7 @@ def _prefixes(grams: DataFrame, frequencies: DataFrame, cutoff: int) -> DataFram
         .groupBy("name", "text")
         .agg(rarest_first.alias("ordered"))
         .select("name", "text", F.transform(prefix, lambda g: g["gram"]).alias("prefix"))
-        .withColumn("gram", F.explode("prefix"))
+        .select("*", F.posexplode("prefix").alias("place", "gram"))
     )
 
 
@@ -123,8 +123,9 @@ def levenshtein_pairs(
     """Every pair of names whose texts score ``cutoff`` or more, once each.
 
     ``left`` and ``right`` hold distinct ``name`` and the ``text`` to compare. A pair is
-    produced at the smallest trigram its two prefixes share, so none is produced twice, and
-    the edit distance is part of the join condition, so only true matches leave the join.
+    produced at the first trigram of one prefix that the other holds, so none is produced
+    twice, and the edit distance is part of the join condition, so only true matches leave
+    the join.
     """
     if not LOWEST_CUTOFF <= cutoff <= 100:
         raise ValueError(f"cutoff {cutoff} is not between {LOWEST_CUTOFF} and 100")
@@ -142,11 +143,12 @@ def levenshtein_pairs(
     longer = F.greatest(F.length("a.text"), F.length("b.text"))
     allowed = levenshtein_allowance(longer, cutoff)
     distance = F.call_function("levenshtein", F.col("a.text"), F.col("b.text"), allowed)
+    shared_earlier = F.arrays_overlap(F.slice("a.prefix", F.lit(1), F.col("a.place")), "b.prefix")
     similar = (
         (F.col("a.gram") == F.col("b.gram"))
         & (F.abs(F.length("a.text") - F.length("b.text")) <= allowed)
         & (distance >= 0)
-        & (F.array_min(F.array_intersect("a.prefix", "b.prefix")) == F.col("a.gram"))
+        & ~shared_earlier
     )
     return a.join(b, similar).select(
         F.col("a.name").alias("left"),

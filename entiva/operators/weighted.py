@@ -132,17 +132,19 @@ def _length_ratio(a: Column, b: Column) -> Column:
 
 
 def _probe(short: DataFrame, long: DataFrame) -> DataFrame:
-    """Candidate pairs in which ``short`` is the shorter text, as (s.*, t.*) names and texts."""
-    s = short.withColumn("gram", F.explode("rare")).alias("s")
+    """Candidate pairs in which ``short`` is the shorter text, once each: a pair is produced
+    at the first of the rare bigrams that the other text holds."""
+    s = short.select("*", F.posexplode("rare").alias("place", "gram")).alias("s")
     t = long.withColumn("gram", F.explode("grams")).drop("rare", "needed").alias("t")
     not_longer = (F.length("s.text") <= F.length("t.text")) | (
         F.col("s.distinct_length") <= F.col("t.distinct_length")
     )
-    first_shared = F.array_min(F.array_intersect("s.rare", "t.grams")) == F.col("s.gram")
+    shared_earlier = F.arrays_overlap(F.slice("s.rare", F.lit(1), F.col("s.place")), "t.grams")
     enough = F.size(F.array_intersect("s.grams", "t.grams")) >= F.col("s.needed")
     comparable = _length_ratio(F.length("s.text"), F.length("t.text")) <= VERY_UNEQUAL_ABOVE
     return s.join(
-        t, (F.col("s.gram") == F.col("t.gram")) & not_longer & comparable & enough & first_shared
+        t,
+        (F.col("s.gram") == F.col("t.gram")) & not_longer & comparable & ~shared_earlier & enough,
     ).select(
         F.col("s.name").alias("s"), F.col("s.text").alias("s_text"),
         F.col("t.name").alias("t"), F.col("t.text").alias("t_text"),
@@ -169,7 +171,7 @@ def weighted_pairs(
     """The pairs that score ``cutoff`` or more, but for those that only share a word.
 
     Those score ``SHARED_WORD``; see ``shared_word_best``. The score is computed in Arrow
-    batches, for candidate pairs only. A pair may occur twice.
+    batches, for candidate pairs only.
     """
     if not LOWEST_CUTOFF <= cutoff <= 100:
         raise ValueError(f"cutoff {cutoff} is not between {LOWEST_CUTOFF} and 100")
@@ -190,7 +192,8 @@ def weighted_pairs(
     scored = candidates.select(
         "left", "right", weighted_ratio_udf("left_text", "right_text").alias("score")
     )
-    return scored.filter(F.col("score") >= cutoff)
+    # A pair of equally long texts is found from both sides.
+    return scored.filter(F.col("score") >= cutoff).distinct()
 
 
 def _by_word(names: DataFrame) -> DataFrame:

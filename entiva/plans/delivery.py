@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,7 +120,8 @@ class _Builder:
         dedup_registry_by: str,
         matcher: Matcher | None,
     ):
-        self.workspace = workspace or Workspace(registry.sparkSession)
+        self.spark = registry.sparkSession
+        self.workspace = workspace or Workspace(self.spark)
         self.aliases = aliases
         self.matcher = matcher
         self.metric_names = list(metric_names)
@@ -182,6 +185,22 @@ class _Builder:
             label=label,
         )
 
+    def match_both(
+        self, rows: DataFrame, complaint_names: DataFrame, cutoffs: tuple[int, int]
+    ) -> tuple[DataFrame, DataFrame]:
+        """Match complaint names and review names. Neither needs the other, so their jobs
+        run side by side and share the executors."""
+        with ThreadPoolExecutor(2) as pool:
+            waiting = [
+                pool.submit(inheritable_thread_target(self.spark)(self.match), rows, *work)
+                for work in (
+                    (self.metric_names[0], complaint_names, cutoffs[0], "complaints"),
+                    (RATING_COLUMNS[0], self.reviews_by_name, cutoffs[1], "reviews"),
+                )
+            ]
+            complaint_matches, review_matches = (job.result() for job in waiting)
+        return complaint_matches, review_matches
+
     def fill(
         self, rows: DataFrame, complaint_matches: DataFrame, review_matches: DataFrame
     ) -> DataFrame:
@@ -240,13 +259,8 @@ def master_table(
     candidates = build.metrics_by_name
     if exclude_used:
         candidates = unmatched(candidates, rows.select(NAME_KEY), NAME_KEY)
-    complaint_matches = build.match(
-        rows, FULL_METRICS[0], candidates, complaint_cutoff, "complaints"
-    )
-    review_matches = build.match(
-        rows, RATING_COLUMNS[0], build.reviews_by_name, review_cutoff, "reviews"
-    )
-    filled = build.fill(rows, complaint_matches, review_matches)
+    matches = build.match_both(rows, candidates, (complaint_cutoff, review_cutoff))
+    filled = build.fill(rows, *matches)
     keys = ["segmento", "cnpj", "nome", TAX_ID, NAME_KEY, *FULL_METRICS]
     return select_renamed(filled, {k: k for k in keys} | FULL_RATINGS)
 
@@ -271,12 +285,7 @@ def indicator_table(
         registry, reviews, metrics, INDICATOR_METRICS, workspace, aliases, dedup_registry_by, matcher
     )
     rows = build.exact(metrics_by_name=False)
-    complaint_matches = build.match(
-        rows, INDICATOR_METRICS[0], build.metrics_by_name, complaint_cutoff, "complaints"
-    )
-    review_matches = build.match(
-        rows, RATING_COLUMNS[0], build.reviews_by_name, review_cutoff, "reviews"
-    )
-    filled = build.fill(rows, complaint_matches, review_matches)
+    matches = build.match_both(rows, build.metrics_by_name, (complaint_cutoff, review_cutoff))
+    filled = build.fill(rows, *matches)
     keys = ["nome", NAME_KEY, TAX_ID, "segmento", *INDICATOR_METRICS]
     return select_renamed(filled, {k: k for k in keys} | INDICATOR_RATINGS)
