@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The scorer travels to the Python workers by value, so that executors which do not have
+# this package installed can run it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def levenshtein_allowance(longer: Column, cutoff: int) -> Column:
     """Edits that still score ``cutoff`` or more when the longer text has this length."""
