@@ -56,7 +56,7 @@ from entiva.operators.shape import (
     union_by_name,
     union_in_order,
 )
-from entiva.plans import pipeline
+from entiva.plans import layers
 from entiva.plans.delivery import (
     FULL_METRICS,
     NAME_KEY,
@@ -143,7 +143,7 @@ def src_multi_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         sep=";",
         encoding="ISO-8859-1",
         glob="*.csv",
-        exclude=pipeline.NO_DATA,
+        exclude=layers.NO_DATA,
         recursive=True,
         provenance="origem_arquivo",
         provenance_from=standins.label_of_file(),
@@ -164,8 +164,8 @@ def src_phantom_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def src_parquet_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = Workspace(spark).path
-    write_layer(complaints(spark, sf_dir), base, pipeline.TRUSTED, pipeline.COMPLAINTS)
-    stored = read_layer(spark, base, pipeline.TRUSTED, pipeline.COMPLAINTS)
+    write_layer(complaints(spark, sf_dir), base, layers.TRUSTED, layers.COMPLAINTS)
+    stored = read_layer(spark, base, layers.TRUSTED, layers.COMPLAINTS)
     return stored.filter(key_present(F.col(TAX_ID))).select(TAX_ID, NAME_KEY, "indice")
 
 
@@ -173,8 +173,8 @@ def src_parquet_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = Workspace(spark).path
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    write_layer(customers.limit(1), base, pipeline.RAW, "customer")
-    return spark.read.parquet(write_layer(customers, base, pipeline.RAW, "customer"))
+    write_layer(customers.limit(1), base, layers.RAW, "customer")
+    return spark.read.parquet(write_layer(customers, base, layers.RAW, "customer"))
 
 
 @query
@@ -194,11 +194,11 @@ def sink_typed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_load_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace, prefix = Workspace(spark), f"loaded_{uuid.uuid4().hex}_"
     for name in ("customer", "orders", "supplier"):
-        write_layer(table(spark, sf_dir, name), workspace.path, pipeline.DELIVERY, name)
+        write_layer(table(spark, sf_dir, name), workspace.path, layers.DELIVERY, name)
     warehouse = workspace.folder("warehouse")
-    load_layer(spark, workspace.path, pipeline.DELIVERY, warehouse, prefix=prefix)
+    load_layer(spark, workspace.path, layers.DELIVERY, warehouse, prefix=prefix)
     tables = load_layer(
-        spark, workspace.path, pipeline.DELIVERY, warehouse, prefix=prefix, mode="append"
+        spark, workspace.path, layers.DELIVERY, warehouse, prefix=prefix, mode="append"
     )
     return quality.layer_counts({name: spark.table(loaded) for name, loaded in tables.items()})
 
@@ -548,8 +548,8 @@ def match_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def job_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace = Workspace(spark)
     files = standins.write_source_files(spark, sf_dir, workspace)
-    pipeline.run_raw(spark, files, workspace.path)
-    return read_layer(spark, workspace.path, pipeline.RAW, pipeline.COMPLAINTS)
+    layers.run_raw(spark, files, workspace.path)
+    return read_layer(spark, workspace.path, layers.RAW, layers.COMPLAINTS)
 
 
 @query
@@ -587,8 +587,8 @@ def delivery_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 def job_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace = Workspace(spark)
     files = standins.write_source_files(spark, sf_dir, workspace)
-    pipeline.run_all(spark, files, workspace.path, layouts=[pipeline.MASTER])
-    return read_layer(spark, workspace.path, pipeline.DELIVERY, pipeline.MASTER)
+    layers.run_all(spark, files, workspace.path, layouts=[layers.MASTER])
+    return read_layer(spark, workspace.path, layers.DELIVERY, layers.MASTER)
 
 
 @query

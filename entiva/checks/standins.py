@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiva.plans.pipeline import NO_DATA, REVIEWS_WITH_ID, REVIEWS_WITH_SEGMENT, SourceFiles
+from entiva.plans.layers import NO_DATA, REVIEWS_WITH_ID, REVIEWS_WITH_SEGMENT, SourceFiles
 from entiva.plans.trusted import (
     COMPLAINT_COLUMNS,
     RATING_COLUMNS,

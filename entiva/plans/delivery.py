@@ -132,7 +132,7 @@ class _Builder:
         )
         self.frequent = frequent_keys(registry, NAME_KEY)
         # Both are far smaller than the facts and are read by several steps.
-        self.metrics = self.workspace.keep(metrics, "metrics")
+        self.metrics = self.workspace.keep(metrics, "metrics", by="key_type")
         self.reviews = self.workspace.keep(
             dedup_by_key_priority(
                 reviews.select(TAX_ID, NAME_KEY, *RATING_COLUMNS), TAX_ID, NAME_KEY

@@ -41,10 +41,13 @@ class Workspace:
     def folder(self, label: str) -> str:
         return f"{self.path}/{label}"
 
-    def keep(self, df: DataFrame, label: str) -> DataFrame:
-        """Write ``df`` once and return a frame that reads it back."""
+    def keep(self, df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+        """Write ``df`` once and return a frame that reads it back.
+
+        ``by`` names a column of few values; readers of one value skip the other folders.
+        """
         folder = self.folder(label)
-        df.write.mode("overwrite").parquet(folder)
+        df.write.mode("overwrite").parquet(folder, partitionBy=by)
         return self.spark.read.schema(df.schema).parquet(folder)
 
     def drop(self, label: str) -> None:

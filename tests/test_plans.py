@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from entiva.operators.dedup import dedup_by_key_priority
 from entiva.operators.weighted import weighted_matcher
-from entiva.plans import pipeline
+from entiva.plans import layers
 from entiva.plans.delivery import FULL_METRICS, indicator_table, master_table
 from entiva.plans.trusted import (
     COMPLAINT_COLUMNS,
@@ -139,8 +139,8 @@ def write_sources(folder):
     common = [c for c in REVIEW_COLUMNS if c not in ("segmento", "cnpj")]
     values = {c: "1.5" if c in RATING_COLUMNS else c for c in common}
     for name, columns, extra in (
-        ("segment.csv", pipeline.REVIEWS_WITH_SEGMENT, {"segmento": "S2", "nome": "BANCO FIBRA"}),
-        ("id.csv", pipeline.REVIEWS_WITH_ID, {"cnpj": "00360305", "nome": "CAIXA"}),
+        ("segment.csv", layers.REVIEWS_WITH_SEGMENT, {"segmento": "S2", "nome": "BANCO FIBRA"}),
+        ("id.csv", layers.REVIEWS_WITH_ID, {"cnpj": "00360305", "nome": "CAIXA"}),
     ):
         row = values | extra
         (folder / name).write_text(
@@ -150,7 +150,7 @@ def write_sources(folder):
     line = "2021;1º;c;t; ;BANCO FIBRA (conglomerado);1.015,50;1;0;0;2;10;10;0;\n"
     (folder / "complaints" / "2021_tri_01.csv").write_bytes((header + line).encode("latin-1"))
     (folder / "complaints" / "2021_tri_02_nao_ha_dados.csv").write_bytes(b"")
-    return pipeline.SourceFiles(
+    return layers.SourceFiles(
         registry=str(folder / "registry.tsv"),
         reviews_with_segment=str(folder / "segment.csv"),
         reviews_with_id=str(folder / "id.csv"),
@@ -160,7 +160,7 @@ def write_sources(folder):
 
 def test_full_run(spark, workspace, tmp_path):
     files = write_sources(tmp_path)
-    pipeline.run_all(spark, files, workspace.path)
+    layers.run_all(spark, files, workspace.path)
     raw = read_layer(spark, workspace.path, "raw", "reclamacoes").first()
     assert raw["origem_arquivo"] == "2021_tri_01.csv" and raw["trimestre"] == "1º"
     origins = read_layer(spark, workspace.path, "raw", "empregados").select("origem", "segmento", "cnpj")
@@ -180,7 +180,7 @@ def test_a_failing_layer_stops_the_run(spark, workspace, tmp_path):
     files = write_sources(tmp_path)
     (tmp_path / "registry.tsv").write_text(f"Segmento\tCNPJ\tNome\nS1\t1\t{'A' * 256}\n")
     with pytest.raises(ValueError, match="longer than"):
-        pipeline.run_all(spark, files, workspace.path)
+        layers.run_all(spark, files, workspace.path)
     with pytest.raises(Exception):
         read_layer(spark, workspace.path, "delivery", "banco_final")
 
@@ -190,3 +190,54 @@ def test_rules_differ_on_the_short_suffix(spark):
     names = [trusted_registry(raw, rule).first()["nome_norm"] for rule in ("literal", "pattern")]
     assert names == ["BANCO DAYCOVAL SA", "BANCO DAYCOVAL"]
     assert trusted_registry(raw).select(F.col("segmento")).first()[0] == "S1"
+
+
+# Id (if any) and name of the 39 published review rows.
+REVIEWED = """
+655522|APE POUPEX
+58160789|SAFRA
+7450604|CHINA CONSTRUCTION BANK (BRASIL) BANCO MULTIPLO S/
+60814191|MERCEDES-BENZ
+60518222|BANCO SUMITOMO MITSUI BRASIL S.A.
+|BNP PARIBAS
+|BTG PACTUAL
+|ALFA
+|BMG
+|BRADESCO
+|BANCO DAYCOVAL S.A
+|BANCO FIBRA S.A.
+|ORIGINAL
+|PAN
+|PINE
+|VOTORANTIM
+|BANCO DO BRASIL
+|BANCO DO NORDESTE DO BRASIL S.A.
+|BANCO TOKYO-MITSUBISHI BM S.A.
+|BANRISUL
+|CAIXA ECONOMICA FEDERAL
+|CITIBANK
+|CREDIT SUISSE
+|DEUTSCHE
+|GOLDMAN SACHS
+|ING
+|ITAU
+|JP MORGAN CHASE
+|BOFA MERRILL LYNCH
+|MORGAN STANLEY
+|SANTANDER
+|SICREDI
+|SOCIETE GENERALE
+|VOTORANTIM
+|APE POUPEX
+|CHINA CONSTRUCTION BANK (BRASIL) BANCO MULTIPLO S/
+|JP MORGAN CHASE
+|MERCEDES-BENZ
+|BANCO SUMITOMO MITSUI BRASIL S.A.
+"""
+
+
+def test_published_reviews_reduce_to_one_row_per_name(spark):
+    rows = [tuple(line.split("|")) for line in REVIEWED.split("\n") if line]
+    df = reviews(spark, [(tax_id or None, name, "3.0") for tax_id, name in rows])
+    kept = dedup_by_key_priority(df)
+    assert (len(rows), kept.count(), kept.select("nome_norm").distinct().count()) == (39, 37, 33)
