@@ -5,7 +5,6 @@ from __future__ import annotations
 from entiva.functions.aliases import INSTITUTION_ALIASES
 from entiva.functions.keys import LEGAL_SUFFIX_PATTERN, LEGAL_SUFFIXES
 from entiva.plans.delivery import FULL_RATINGS, INDICATOR_RATINGS
-from entiva.plans.layers import REVIEWS_WITH_ID, REVIEWS_WITH_SEGMENT
 from entiva.plans.trusted import (
     COMPLAINT_COLUMNS,
     COMPLAINT_COUNTS,
