@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiva.llm import bpe, exact_dedup, language, near_dedup
+from entiva.llm import bpe, decontaminate, exact_dedup, language, near_dedup
 from entiva.llm.common import fold, table
 
 #: The vocabulary that the BPE query and the pipeline use; the operator takes any path.
@@ -29,6 +29,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), bpe_path(), digests=True)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -40,6 +46,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_bpe": op3_bpe,
+    "op5_decontamination": op5_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_near_dedup": op8_near_dedup,
 }
