@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entiva.llm.common import ship
+
 #: Bytes of a vocabulary file that may be sent to every worker.
 MOST_VOCABULARY = 64 << 20
 
@@ -276,6 +278,7 @@ def encode(
     file is read on the driver and sent to the workers, its size checked; repeated rows and rows
     with a null id are encoded each by itself; an empty table gives no rows.
     """
+    ship(documents.sparkSession)
     with open(vocabulary_path, "rb") as file:
         content = file.read(MOST_VOCABULARY + 1)
     if len(content) > MOST_VOCABULARY:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entiva.llm.common import text_or_empty
+from entiva.llm.common import ship, text_or_empty
 
 UNKNOWN = "und"
 
@@ -154,6 +154,7 @@ def predict(
     A model of one language accepts all texts with a letter. Ties go to the language first
     in the alphabet. Repeated rows get the same answer; other columns are ignored.
     """
+    ship(documents.sparkSession)
     sent = documents.sparkSession.sparkContext.broadcast(model)
     rows = documents.select(
         F.col(id_column).alias("doc_id"),

@@ -7,9 +7,10 @@ pair is confirmed on its full shingle sets.
 
 No group is expanded into all its pairs. Documents with equal shingle sets are one node.
 In a band's bucket each node first meets a few leaders only. Once these links have been
-joined to components, a bucket is looked at again only if it holds several components, and
-then only pairs across components are compared; so no link that joins two components is lost,
-while a bucket of thousands of copies costs about as many pairs as it has rows.
+joined to components, a bucket is looked at again only if it holds several: in a few rounds,
+what is outside its largest component meets other members of that. At the end all pairs
+across components are compared that counts of common shingles do not rule out, so no link
+that joins two components is lost, and thousands of copies cost about as many pairs as rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiva.llm.common import attach
+from entiva.llm.common import attach, ship
 from entiva.llm.components import components
 from entiva.llm.words import hashed_words, in_blocks, mix
 from entiva.session import Workspace
@@ -31,6 +32,9 @@ from entiva.session import Workspace
 BANDS = 36
 ROWS = 5
 
+#: Classes by which shingles are counted to rule out pairs.
+CLASSES = 64
+
 _SHINGLE = [np.uint64(v) for v in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -119,10 +123,10 @@ def signed_sets(
     ).mapInArrow(run, f"doc_id {kind}, n_shingles long, set_key binary, bands array<bigint>")
 
 
-def linked(
-    pairs: DataFrame, documents: DataFrame, id_column: str, text_column: str, size: int, least: int
+def compared(
+    pairs: DataFrame, documents: DataFrame, id_column: str, text_column: str, size: int
 ) -> DataFrame:
-    """The pairs ``a, b`` whose full shingle sets are similar enough."""
+    """The pairs ``a, b`` with the sizes of their shingle sets' intersection and union."""
     texts = documents.select(
         F.col(id_column).alias("id"),
         F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("text"),
@@ -132,15 +136,52 @@ def linked(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            commons, unions = [], []
             left = shingle_sets(batch.column(2).to_pylist(), size)
             right = shingle_sets(batch.column(3).to_pylist(), size)
             for x, y in zip(left, right, strict=True):
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= least * (len(x) + len(y) - common))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+                commons.append(common)
+                unions.append(len(x) + len(y) - common)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(commons, pa.int64()),
+                    pa.array(unions, pa.int64()),
+                ],
+                names=["a", "b", "common", "either"],
+            )
+
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(
+        run, f"a {kind}, b {kind}, common long, either long"
+    )
+
+
+def loose_shingles(
+    nodes: DataFrame, documents: DataFrame, id_column: str, text_column: str, size: int
+) -> DataFrame:
+    """``node, component, shingle``, one row for each shingle of the nodes' sets."""
+    texts = documents.select(
+        F.col(id_column).alias("node"),
+        F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("text"),
+    )
+    kind = documents.schema[id_column].dataType.simpleString()
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, one in enumerate(shingle_sets(batch.column(2).to_pylist(), size)):
+                ids = batch.slice(i, 1).take(pa.array(np.zeros(len(one), np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [ids.column(0), ids.column(1), pa.array(one.view(np.int64))],
+                    names=["node", "component", "shingle"],
+                )
+
+    return (
+        nodes.join(texts, "node")
+        .select("node", "component", "text")
+        .mapInArrow(run, f"node {kind}, component {kind}, shingle long")
+    )
 
 
 def near_groups(
@@ -152,6 +193,7 @@ def near_groups(
     bands: int = BANDS,
     rows: int = ROWS,
     leaders: int = 3,
+    rounds: int = 2,
     workspace: Workspace | None = None,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row.
@@ -162,6 +204,7 @@ def near_groups(
     equals, else null; ``kept`` compares null-safely. Repeated rows are equals. Empty tables
     give no rows. Sets, links and components are written to the shared folder.
     """
+    ship(documents.sparkSession)
     workspace = workspace or Workspace(documents.sparkSession)
     sets = workspace.keep(
         signed_sets(documents, id_column, text_column, shingle_words, bands, rows), "sets"
@@ -195,41 +238,120 @@ def near_groups(
     # of the buckets' rows only those that share theirs are needed again
     met = workspace.keep(buckets.join(shared, "key"), "met")
     close = f"100 * least(n, m) >= {least_percent} * greatest(n, m)"
-    first = (
-        met.select("node", "n", F.explode(F.array_distinct("leaders")).alias("leader"))
-        .select("node", "n", F.col("leader.node").alias("other"), F.col("leader.n").alias("m"))
-        .filter(F.col("node") != F.col("other"))
-        .filter(close)
-        .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        .distinct()
-    )
-    check = (documents, id_column, text_column, shingle_words, least_percent)
-    links = workspace.keep(linked(first, *check), "first_links")
-    labels = workspace.keep(components(links, workspace, "first"), "first_labels")
-
-    of_node = met.select("key", "node", "n").join(labels, "node", "left")
-    of_node = of_node.withColumn("component", F.coalesce("component", "node"))
-    mixed = (
-        of_node.groupBy("key")
+    check = (documents, id_column, text_column, shingle_words)
+    similar = f"100 * common >= {least_percent} * either"
+
+    def pairs_of(rows: DataFrame) -> DataFrame:
+        """Distinct pairs of ``node`` and ``other`` that sizes alone do not rule out."""
+        return (
+            rows.filter(F.col("node") != F.col("other"))
+            .filter(close)
+            .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+            .distinct()
+        )
+
+    first = pairs_of(
+        met.select("node", "n", F.explode(F.array_distinct("leaders")).alias("leader")).select(
+            "node", "n", F.col("leader.node").alias("other"), F.col("leader.n").alias("m")
+        )
+    )
+    known = workspace.keep(compared(first, *check), "compared_0")
+    done = known.select("a", "b")
+    labels = workspace.keep(components(known.filter(similar), workspace, "0"), "labels_0")
+
+    def relabel(new: DataFrame, turn: str) -> DataFrame:
+        """Components once more: the old ones, and new links between their names."""
+        named = new
+        for end in ("a", "b"):
+            names = labels.toDF(end, f"of_{end}")
+            named = named.join(names, end, "left").withColumn(end, F.coalesce(f"of_{end}", end))
+        old = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        links = old.unionByName(named.select("a", "b"))
+        return workspace.keep(components(links, workspace, turn), f"labels_{turn}")
+
+    def open_buckets(turn: int) -> DataFrame:
+        """The rows of buckets that hold several components."""
+        of_node = met.select("key", "node", "n", "leaders").join(labels, "node", "left")
+        of_node = of_node.withColumn("component", F.coalesce("component", "node"))
+        mixed = (
+            of_node.groupBy("key")
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+            .filter("low <> high")
+            .select("key")
+        )
+        return workspace.keep(of_node.join(mixed, "key"), f"open_{turn}")
+
+    rows_left = open_buckets(0)
+    for turn in range(1, rounds + 1):
+        # other members of a bucket's largest component, each time others
+        seeds = [F.lit(turn * leaders + k) for k in range(leaders)]
+        largest = (
+            rows_left.groupBy("key", "component")
+            .agg(
+                F.count("*").alias("members"),
+                F.array(*[F.min_by(member, F.xxhash64("node", "key", k)) for k in seeds]).alias("of"),
+            )
+            .groupBy("key")
+            .agg(
+                F.max_by("of", F.struct("members", "component")).alias("of"),
+                F.max_by("component", F.struct("members", "component")).alias("main"),
+            )
+        )
+        tried = pairs_of(
+            rows_left.join(largest, "key")
+            .filter("component <> main")
+            .select("node", "n", F.explode(F.array_distinct("of")).alias("leader"))
+            .select(
+                "node", "n", F.col("leader.node").alias("other"), F.col("leader.n").alias("m")
+            )
+        ).join(done, ["a", "b"], "left_anti")
+        found = workspace.keep(compared(tried, *check), f"compared_{turn}")
+        done = done.unionByName(found.select("a", "b"))
+        new = found.filter(similar)
+        if new.isEmpty():
+            break
+        labels = relabel(new, str(turn))
+        rows_left = open_buckets(turn)
+
+    # What is left are pairs across components. Their common shingles are among those that
+    # occur in several components; their counts by class bound the similarity of a pair.
+    loose = workspace.keep(
+        loose_shingles(rows_left.select("node", "component").distinct(), *check), "loose"
+    )
+    spread = (
+        loose.groupBy("shingle")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low <> high")
-        .select("key")
-    )
-    open_rows = workspace.keep(of_node.join(mixed, "key"), "mixed")
-    other = open_rows.toDF("key", "b", "m", "component_b")
-    second = (
-        open_rows.join(other, "key")
-        .filter("node < b and component <> component_b")
-        .filter(close)
-        .select(F.col("node").alias("a"), "b")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    more = workspace.keep(linked(second, *check), "second_links")
-    if not more.isEmpty():
-        labels = workspace.keep(
-            components(links.unionByName(more), workspace, "second"), "second_labels"
+        .select("shingle")
+    )
+    class_of = F.pmod("shingle", F.lit(CLASSES))
+    in_others = (
+        loose.join(spread, "shingle")
+        .groupBy("node")
+        .agg(
+            F.count("*").alias("c"),
+            *[F.count_if(class_of == k).cast("int").alias(f"c{k}") for k in range(CLASSES)],
         )
+    )
+    rows_left = rows_left.drop("leaders").join(in_others, "node")
+    rows_left = workspace.keep(rows_left.filter(f"100 * c >= {least_percent} * n"), "open_last")
+    other = rows_left.select(
+        "key",
+        F.col("node").alias("other"),
+        F.col("n").alias("m"),
+        F.col("component").alias("component_b"),
+        *[F.col(f"c{k}").alias(f"e{k}") for k in range(CLASSES)],
+    )
+    common = " + ".join(f"least(c{k}, e{k})" for k in range(CLASSES))
+    percent = 100 + least_percent
+    crossing = rows_left.join(other, "key").filter(
+        f"node < other and component <> component_b"
+        f" and {percent} * ({common}) >= {least_percent} * (n + m)"
+    )
+    last = pairs_of(crossing).join(done, ["a", "b"], "left_anti")
+    new = workspace.keep(compared(last, *check), "compared_last").filter(similar)
+    if not new.isEmpty():
+        labels = relabel(new, "last")
     labelled = groups.join(labels, "node", "left").select(
         "set_key", "group_size", F.coalesce("component", "node").alias("component_id")
     )
