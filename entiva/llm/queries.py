@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiva.llm import bpe, decontaminate, exact_dedup, language, near_dedup
+from entiva.llm import bpe, decontaminate, exact_dedup, html_text, language, near_dedup, secrets
 from entiva.llm.common import fold, table
 
 #: The vocabulary that the BPE query and the pipeline use; the operator takes any path.
@@ -39,16 +39,27 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return secrets.digest(secrets.secrets(documents, secrets.fit(documents)))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_bpe": op3_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_secrets": op7_secrets,
     "op8_near_dedup": op8_near_dedup,
+    "op10_html_text": op10_html_text,
 }
 
 SQL = {

@@ -178,8 +178,8 @@ def secrets(
     """``doc_id, base, added`` of every row: arrays of ``start, kind, end`` in code points.
 
     ``base`` holds what the rules find, ordered by start and kind; ``added`` runs of 16 or
-    more identifier characters whose log-likelihood ratio is at least ``least_ratio`` and
-    that overlap no base span. Null counts as empty and has no spans; without a model
+    more identifier characters, a letter among them, whose log-likelihood ratio is at least
+    ``least_ratio`` and that overlap no base span. Null counts as empty and has no spans; without a model
     nothing is added. Rows are independent: repeated ones get the same answer.
     """
     text = F.col("text")
@@ -198,7 +198,10 @@ def secrets(
     table = model.column()
 
     def unlike_words(_: Column, matches: Column) -> Column:
-        return F.transform(matches, lambda m: ratio(m, table) >= least_ratio)
+        # numbers alone are no keys
+        return F.transform(
+            matches, lambda m: m.rlike("[A-Za-z]") & (ratio(m, table) >= least_ratio)
+        )
 
     rows = rows.select(
         "doc_id", base.alias("base"), spans_of(text, CANDIDATE, 3, unlike_words).alias("runs")
