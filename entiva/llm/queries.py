@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiva.llm import bpe, decontaminate, exact_dedup, html_text, language, near_dedup, secrets
+from entiva.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    html_text,
+    language,
+    language_model,
+    line_dedup,
+    near_dedup,
+    secrets,
+    toxicity,
+)
 from entiva.llm.common import fold, table
 
 #: The vocabulary that the BPE query and the pipeline use; the operator takes any path.
@@ -25,10 +36,25 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", fold("doc_id", 4) == 2)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.fit(documents, labels, training=fold("id", 5) != 0)
+    found = toxicity.scores(documents, model)
+    return found.withColumn("held_out", fold("doc_id", 5) == 0)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), bpe_path(), digests=True)
 
 
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    trie = language_model.train(documents, training=fold("doc_id", 10) != 0, order=3)
+    found = language_model.scores(documents, trie)
+    return found.withColumn("held_out", fold("doc_id", 10) == 0)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -48,17 +74,26 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    gone = line_dedup.repeated_lines(documents)
+    return line_dedup.report(documents, gone, "doc_id", "text")
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
+    "op4_language_model": op4_language_model,
     "op5_decontamination": op5_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_secrets": op7_secrets,
     "op8_near_dedup": op8_near_dedup,
+    "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
 }
 

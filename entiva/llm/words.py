@@ -46,23 +46,30 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts in order, and the place of each text's first word (one more
     at the end)."""
     data = np.frombuffer(b"\n".join(texts), np.uint8)
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    starts, ends, bounds = located(data, texts)
+    if not len(starts):
+        return np.zeros(0, np.uint64), bounds
+    return hashed(data, starts, ends), bounds
+
+
+def located(data: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of the joined texts start and end, and each text's first word."""
     inside = ~_blank[data]
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
-    lengths = ends - starts
     offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
-    bounds = np.searchsorted(starts, offsets)
-    if not len(starts):
-        return np.zeros(0, np.uint64), bounds
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    lengths = ends - starts
     place = _places(starts, len(data))
     table = powers(int(lengths.max()))
     parts = _value[data]
     parts *= table[np.minimum(place, len(table) - 1)]
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(parts, out=sums[1:])
-    return mix(sums[ends] - sums[starts] + lengths.astype(np.uint64)), bounds
+    return mix(sums[ends] - sums[starts] + lengths.astype(np.uint64))
 
 
 def _places(starts: np.ndarray, size: int) -> np.ndarray:
