@@ -71,6 +71,7 @@ class Vocabulary:
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         keys = np.array([ids[a] << 20 | ids[b] for a, b in pairs], np.int64)
         self.merged = np.array([ids[a + b] for a, b in pairs], np.int64)  # by rank
+        self.rank_of = dict(zip(keys.tolist(), range(len(keys)), strict=True))
         # pairs and ranks in a hash table with linear probing
         self.mask = (1 << (4 * len(keys)).bit_length()) - 1
         self.table = np.full((self.mask + 1, 2), (-1, NO_PAIR), np.int64)
@@ -155,6 +156,56 @@ def merge_all(symbols: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
     return symbols.reshape(words, length)
 
 
+def merge_word(symbols: list[int], vocabulary: Vocabulary) -> list[int]:
+    """The same for one word, where steps over arrays of one row would cost too much."""
+    length = len(symbols)
+    if length < 2:
+        return symbols
+    width = 1 << (length - 1).bit_length()
+    none = int(NO_PAIR)
+    rank_of, merged = vocabulary.rank_of, vocabulary.merged
+    symbols = list(symbols)
+    following = list(range(1, length + 1))
+    previous = list(range(-1, length - 1))
+    tree = [none] * (2 * width)
+    for i in range(length - 1):
+        rank = rank_of.get(symbols[i] << 20 | symbols[i + 1])
+        if rank is not None:
+            tree[width + i] = rank << 24 | i
+    for node in range(width - 1, 0, -1):
+        tree[node] = min(tree[2 * node], tree[2 * node + 1])
+
+    def put(place: int, value: int) -> None:
+        node = width + place
+        tree[node] = value
+        while node > 1:
+            node >>= 1
+            least = min(tree[2 * node], tree[2 * node + 1])
+            if tree[node] == least:
+                break
+            tree[node] = least
+
+    while tree[1] != none:
+        rank, left = tree[1] >> 24, tree[1] & 0xFFFFFF
+        right = following[left]
+        after, before = following[right], previous[left]
+        symbols[left], symbols[right] = int(merged[rank]), -1
+        following[left] = after
+        put(right, none)
+        ahead = None
+        if after < length:
+            previous[after] = left
+            ahead = rank_of.get(symbols[left] << 20 | symbols[after])
+        put(left, none if ahead is None else ahead << 24 | left)
+        if before >= 0:
+            behind = rank_of.get(symbols[before] << 20 | symbols[left])
+            put(before, none if behind is None else behind << 24 | before)
+    return [s for s in symbols if s >= 0]
+
+
+#: Fewer words of one length than this are merged one by one.
+FEW_WORDS = 20
+
 #: Symbols that one array of trees may hold.
 BLOCK_SYMBOLS = 1 << 20
 
@@ -189,6 +240,11 @@ class Encoder:
                 raw = np.frombuffer(b"".join(block), np.uint8).reshape(len(block), length)
                 symbols = self.vocabulary.inner[raw]
                 symbols[:, -1] = self.vocabulary.final[raw[:, -1]]
+                if len(block) < FEW_WORDS:
+                    for piece, row in zip(block, symbols.tolist(), strict=True):
+                        own = merge_word(row, self.vocabulary)
+                        found[piece] = np.array(own, "<u4").tobytes()
+                    continue
                 merged = merge_all(symbols, self.vocabulary)
                 alive = merged >= 0
                 ids = merged[alive].astype("<u4").tobytes()

@@ -42,7 +42,8 @@ def template(words: Column) -> Column:
         words.contains(MARK), F.regexp_replace(words, rf"{MARK}[^ ]+", NAME)
     ).otherwise(words)
     units = "|".join(UNITS)
-    numbered = F.regexp_replace(named, r"[^ ]*\p{N}[^ ]*", NUMBER)
+    # tried at the start of a word only, so that a long word costs no more than its length
+    numbered = F.regexp_replace(named, r"(?<![^ ])[^ \p{N}]*+\p{N}[^ ]*+", NUMBER)
     with_units = F.regexp_replace(
         F.lower(numbered), rf"(?<={NUMBER} )(?:{units})(?= |$)", UNIT
     )
@@ -80,7 +81,7 @@ def contaminated(
     window: int = 5,
     least_literals: int = 3,
     least_coverage: float = 0.6,
-    least_consistency: float = 0.8,
+    least_consistency: float = 0.9,
     workspace: Workspace | None = None,
 ) -> DataFrame:
     """``doc_id, item_id, coverage, n_slots, changed_slots, consistency``, one row for each

@@ -46,10 +46,11 @@ def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
     base, step, short = _SHINGLE
     for _, block in in_blocks(texts):
         words, bounds = hashed_words(block)
-        rolled = np.zeros(max(0, len(words) - size + 1), np.uint64)
+        count = max(0, len(words) - size + 1)
+        rolled = np.zeros(count, np.uint64)
         for k in range(size):
             rolled *= base
-            rolled += words[k : len(words) - size + 1 + k]
+            rolled += words[k : k + count]
         rolled = mix(rolled + step)
         for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if end - begin >= size:
