@@ -142,7 +142,11 @@ reviews as (
     {norm_name("nome")} as nome_norm, {norm_id("cnpj")} as cnpj_norm
   from raw_reviews)"""
 
-MEAN_INDEX = "cast(sum(cast(round(indice * 100) as bigint)) as double) / 100 / count(indice)"
+# by way of text, as the direct cast of a double to a wide decimal is not exact
+MEAN_INDEX = (
+    "cast(cast(sum(cast(cast(indice as varchar) as decimal(38, 10))) as varchar) as double)"
+    " / count(indice)"
+)
 MEASURES = f"""cast(sum(qtd_total_reclamacoes) as bigint) as qtd_total_reclamacoes,
     cast(sum(qtd_reclamacoes_reguladas_procedentes) as bigint) as qtd_procedentes,
     {MEAN_INDEX} as indice_medio,
@@ -433,6 +437,16 @@ select employer_name, nome, cnpj, segmento, origem, {", ".join(RATING_COLUMNS)},
     "delivery_master_table": MASTER,
     "delivery_indicators": INDICATOR_TABLE,
     "job_full_run": MASTER,
+    "report_cast_losses": f"""with {REVIEWS}, {COMPLAINTS}
+{" union all ".join(
+    f"select '{name}' as dataset, '{c}' as field, "
+    f"(select count(*) from raw_{of} where trim({c}) <> '') - (select count({c}) from {of}) as lost"
+    for name, of, fields in (
+        ("empregados", "reviews", RATING_COLUMNS),
+        ("reclamacoes", "complaints", ["indice", *COMPLAINT_COUNTS]),
+    )
+    for c in fields
+)}""",
     "report_layer_counts": f"""with {REGISTRY}, {COMPLAINTS}, {REVIEWS}, {DEDUP}
 select 'registry' as table_name, count(*) as n_rows from registry
 union all select 'reviews', count(*) from reviews

@@ -591,6 +591,15 @@ def job_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, workspace.path, layers.DELIVERY, layers.MASTER)
 
 
+@query
+def report_cast_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workspace = Workspace(spark)
+    files = standins.write_source_files(spark, sf_dir, workspace)
+    layers.run_raw(spark, files, workspace.path)
+    layers.run_trusted(spark, workspace.path)
+    return layers.loss_report(spark, workspace.path)
+
+
 @query
 def report_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = registry(spark, sf_dir)

@@ -7,9 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# An alias mapping is a driver-side dictionary; this keeps its broadcast size bounded.
-MAX_ALIASES = 100_000
-
 # alias = canonical name, in their natural order.
 INSTITUTION_ALIASES: dict[str, str] = {
     "BB": "BANCO DO BRASIL",
@@ -103,20 +100,27 @@ INSTITUTION_ALIASES: dict[str, str] = {
 }
 
 
-def alias_table(spark: SparkSession, aliases: Mapping[str, str] | None = None) -> DataFrame:
-    """The aliases as a two-column frame, ``nome`` and ``canonico``."""
+#: Aliases as a dictionary, or as a frame with ``nome`` and ``canonico`` if they are many.
+Aliases = Mapping[str, str] | DataFrame
+
+
+def alias_table(spark: SparkSession, aliases: Aliases | None = None) -> DataFrame:
+    """The aliases as a two-column frame, ``nome`` and ``canonico``, one row per alias."""
     chosen = INSTITUTION_ALIASES if aliases is None else aliases
-    if len(chosen) > MAX_ALIASES:
-        raise ValueError(f"{len(chosen)} aliases; at most {MAX_ALIASES} fit a broadcast")
+    if isinstance(chosen, DataFrame):
+        return chosen.groupBy("nome").agg(F.min("canonico").alias("canonico"))
     return spark.createDataFrame(list(chosen.items()), "nome string, canonico string")
 
 
 def resolve_aliases(
-    df: DataFrame, name: str, output: str, aliases: Mapping[str, str] | None = None
+    df: DataFrame, name: str, output: str, aliases: Aliases | None = None
 ) -> DataFrame:
-    """Add ``output``: the canonical form of ``name``, or ``name`` itself if it has none."""
+    """Add ``output``: the canonical form of ``name``, or ``name`` itself if it has none.
+
+    Whether the aliases are broadcast is left to Spark, which knows their size.
+    """
     table = alias_table(df.sparkSession, aliases).select(
         F.col("nome").alias("_alias"), F.col("canonico").alias("_canonical")
     )
-    joined = df.join(F.broadcast(table), F.col(name) == F.col("_alias"), "left")
+    joined = df.join(table, F.col(name) == F.col("_alias"), "left")
     return joined.withColumn(output, F.coalesce("_canonical", name)).drop("_alias", "_canonical")

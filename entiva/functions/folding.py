@@ -53,9 +53,11 @@ def fold_compatibility(c: Column) -> Column:
     )
     # Deleting the characters and comparing is several times faster than a regex class.
     has_several = F.translate(c, "".join(several), "") != c
-    return F.translate(
+    folded = F.translate(
         F.when(has_several, expanded).otherwise(c), "".join(single), "".join(single.values())
     )
+    # most names are plain ASCII, which has nothing to fold
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(folded)
 
 
 # The accented capitals that the regex name rule folds, and their plain letters.

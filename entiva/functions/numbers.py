@@ -10,11 +10,14 @@ def parse_decimal_comma(c: Column) -> Column:
     """``14.015,05`` to 14015.05: drop whitespace and thousands dots, comma becomes point."""
     bare = F.regexp_replace(c, r"\s", "")
     pointed = F.replace(F.replace(bare, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return pointed.try_cast("double")
+    return to_double(pointed)
 
 
 def to_double(c: Column) -> Column:
-    return c.try_cast("double")
+    """Finite numbers only: ``NaN`` and ``Infinity`` are text, no figures."""
+    value = c.try_cast("double")
+    # NaN counts as larger than any number, so it fails the comparison too
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def to_long(c: Column) -> Column:
@@ -27,15 +30,13 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
 
 
-def mean_of_fixed_point(c: Column, decimals: int = 2) -> Column:
-    """Mean, ignoring nulls, of values that carry at most ``decimals`` decimal places.
+def exact_mean(c: Column) -> Column:
+    """Mean of the values as they are, ignoring nulls.
 
-    Summed as scaled integers, so the result does not depend on row order or partitioning,
-    and the partial aggregation stays on the fast long path.
+    Summed as decimals of ten places, more than any source carries, so the result does not
+    depend on row order or partitioning.
     """
-    scale = 10**decimals
-    scaled = F.round(c * F.lit(float(scale))).cast("bigint")
-    return F.sum(scaled).cast("double") / F.lit(float(scale)) / F.count(c)
+    return F.sum(c.cast("decimal(38,10)")).cast("double") / F.count(c)
 
 
 def whole_to_long(c: Column, label: str) -> Column:

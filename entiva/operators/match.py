@@ -10,13 +10,13 @@ nearly every name holds out of the join. The filter loses no pair.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entiva.functions.aliases import resolve_aliases
+from entiva.functions.aliases import Aliases, resolve_aliases
 from entiva.functions.keys import only_keyed
 from entiva.functions.similarity import levenshtein_allowance, levenshtein_score
 from entiva.operators.assign import one_to_one
@@ -36,7 +36,7 @@ STRICT_STEPS = (90,)
 Matcher = Callable[[DataFrame, DataFrame, int, Workspace, str], DataFrame]
 
 
-def distinct_names(df: DataFrame, name: str, aliases: Mapping[str, str] | None = None) -> DataFrame:
+def distinct_names(df: DataFrame, name: str, aliases: Aliases | None = None) -> DataFrame:
     """Distinct non-empty names with the text to compare: their canonical form."""
     names = only_keyed(df.select(F.col(name).alias("name")), "name").distinct()
     return resolve_aliases(names, "name", "text", aliases)
@@ -45,17 +45,13 @@ def distinct_names(df: DataFrame, name: str, aliases: Mapping[str, str] | None =
 def exact_canonical_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pair names with equal canonical text, first with first in name order.
 
-    Names are distinct, so a group holds at most the aliases of one canonical name plus
-    the name itself; the arrays are as small as that.
+    Names are numbered within their text and paired by number, so however many aliases a
+    canonical name has, none is gathered into an array.
     """
-    lefts = left.groupBy("text").agg(F.array_sort(F.collect_set("name")).alias("lefts"))
-    rights = right.groupBy("text").agg(F.array_sort(F.collect_set("name")).alias("rights"))
-    size = F.least(F.size("lefts"), F.size("rights"))
-    zipped = F.arrays_zip(
-        F.slice("lefts", F.lit(1), size).alias("left"),
-        F.slice("rights", F.lit(1), size).alias("right"),
-    )
-    return lefts.join(rights, "text").select(F.inline(zipped))
+    place = F.row_number().over(Window.partitionBy("text").orderBy("name")).alias("place")
+    lefts = left.select("text", F.col("name").alias("left"), place)
+    rights = right.select("text", F.col("name").alias("right"), place)
+    return lefts.join(rights, ["text", "place"]).select("left", "right")
 
 
 def numbered(grams: Column) -> Column:
@@ -173,7 +169,7 @@ def match_names(
     cutoff: int,
     workspace: Workspace,
     label: str,
-    aliases: Mapping[str, str] | None = None,
+    aliases: Aliases | None = None,
     matcher: Matcher | None = None,
 ) -> DataFrame:
     """Give each distinct left name at most one right name; no right name is given twice.

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entiva.functions.aliases import Aliases
 from entiva.functions.keys import key_present, only_keyed
-from entiva.functions.numbers import mean_of_fixed_point, ratio
+from entiva.functions.numbers import exact_mean, ratio
 from entiva.operators.aggregate import (
     ID,
     NAME,
@@ -34,7 +35,6 @@ from entiva.plans.trusted import RATING_COLUMNS
 from entiva.session import Workspace
 
 TAX_ID, NAME_KEY = "cnpj_norm", "nome_norm"
-INDEX_DECIMALS = 2
 
 # Lowest similarity at which complaint and review names are matched.
 COMPLAINT_CUTOFF = 80
@@ -80,7 +80,7 @@ def complaint_measures() -> dict[str, Column]:
     return {
         "qtd_total_reclamacoes": F.sum("qtd_total_reclamacoes"),
         "qtd_procedentes": F.sum("qtd_reclamacoes_reguladas_procedentes"),
-        "indice_medio": mean_of_fixed_point(F.col("indice"), INDEX_DECIMALS),
+        "indice_medio": exact_mean(F.col("indice")),
         "trimestres_com_reclamacao": F.count(F.lit(1)),
     }
 
@@ -88,7 +88,7 @@ def complaint_measures() -> dict[str, Column]:
 def indicator_measures() -> dict[str, Column]:
     return {
         "reclamacao_total": F.sum("qtd_total_reclamacoes"),
-        "reclamacao_indice_bacen": mean_of_fixed_point(F.col("indice"), INDEX_DECIMALS),
+        "reclamacao_indice_bacen": exact_mean(F.col("indice")),
         "reclamacao_trimestres": F.countDistinct("trimestre"),
         "total_clientes": F.sum("qtd_total_clientes_ccs_e_scr"),
         "total_procedentes": F.sum("qtd_reclamacoes_reguladas_procedentes"),
@@ -116,7 +116,7 @@ class _Builder:
         metrics: DataFrame,
         metric_names: Sequence[str],
         workspace: Workspace | None,
-        aliases: Mapping[str, str] | None,
+        aliases: Aliases | None,
         dedup_registry_by: str,
         matcher: Matcher | None,
     ):
@@ -238,7 +238,7 @@ def master_table(
     *,
     complaint_cutoff: int = COMPLAINT_CUTOFF,
     review_cutoff: int = REVIEW_CUTOFF,
-    aliases: Mapping[str, str] | None = None,
+    aliases: Aliases | None = None,
     exclude_used: bool = False,
     dedup_registry_by: str = "id",
     matcher: Matcher | None = None,
@@ -272,7 +272,7 @@ def indicator_table(
     *,
     complaint_cutoff: int = COMPLAINT_CUTOFF,
     review_cutoff: int = REVIEW_CUTOFF,
-    aliases: Mapping[str, str] | None = None,
+    aliases: Aliases | None = None,
     dedup_registry_by: str = "id",
     matcher: Matcher | None = None,
     workspace: Workspace | None = None,

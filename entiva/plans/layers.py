@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from entiva.operators.shape import add_constants, union_by_name, width_report
+from entiva.operators.shape import add_constants, require_widths, union_by_name
 from entiva.plans.delivery import indicator_table, master_table
 from entiva.plans.trusted import (
     COMPLAINT_COLUMNS,
+    COMPLAINT_COUNTS,
     KEY_WIDTHS,
+    RATING_COLUMNS,
     REGISTRY_SOURCE,
     REVIEW_COLUMNS,
     trusted_complaints,
@@ -19,7 +23,8 @@ from entiva.plans.trusted import (
     trusted_reviews,
 )
 from entiva.sources.readers import read_delimited, read_layer
-from entiva.sources.writers import write_layer
+from entiva.session import Workspace
+from entiva.sources.writers import load_layer, publish_layer, write_layer
 
 # Names of the layers, of their datasets, and of files without data.
 RAW, TRUSTED, DELIVERY = "raw", "trusted", "delivery"
@@ -91,26 +96,58 @@ def run_trusted(spark: SparkSession, base: str, rule: str = "literal") -> None:
         REGISTRY: trusted_registry, REVIEWS: trusted_reviews, COMPLAINTS: trusted_complaints
     }
     for name, clean in cleaners.items():
-        write_layer(clean(read_layer(spark, base, RAW, name), rule), base, TRUSTED, name)
-        _check_key_widths(read_layer(spark, base, TRUSTED, name), name)
-
-
-def _check_key_widths(stored: DataFrame, name: str) -> None:
-    """Stop the run if a stored key is longer than declared. Reads the key columns only."""
-    too_long = {k: n for k, n in width_report(stored, KEY_WIDTHS).first().asDict().items() if n}
-    if too_long:
-        raise ValueError(f"{name} holds keys longer than {KEY_WIDTHS}: {too_long}")
+        cleaned = clean(read_layer(spark, base, RAW, name), rule)
+        # checked in the write, so that a key that is too long publishes nothing
+        publish_layer(require_widths(cleaned, KEY_WIDTHS), base, TRUSTED, name)
+
+
+def loss_report(spark: SparkSession, base: str) -> DataFrame:
+    """``dataset, field, lost``: values of the raw layer that the trusted one could not parse."""
+    reports = []
+    for name, kinds in ((REVIEWS, RATING_COLUMNS), (COMPLAINTS, ["indice", *COMPLAINT_COUNTS])):
+        # a blank is no value, so nothing is lost with it
+        raw = read_layer(spark, base, RAW, name).agg(
+            *[F.count_if(F.trim(k) != "").alias(k) for k in kinds]
+        )
+        kept = read_layer(spark, base, TRUSTED, name).agg(*[F.count(k).alias(k) for k in kinds])
+        before, after = (
+            df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("field"), F.col(k).alias("n"))
+                                          for k in kinds])).alias("x")).select("x.field", "x.n")
+            for df in (raw, kept)
+        )
+        reports.append(
+            before.join(after.withColumnRenamed("n", "kept"), "field").select(
+                F.lit(name).alias("dataset"), "field", (F.col("n") - F.col("kept")).alias("lost")
+            )
+        )
+    return reports[0].unionByName(reports[1])
 
 
 def run_delivery(
-    spark: SparkSession, base: str, layouts: Sequence[str] = (MASTER, INDICATORS)
+    spark: SparkSession,
+    base: str,
+    layouts: Sequence[str] = (MASTER, INDICATORS),
+    *,
+    warehouse: str | None = None,
+    table_prefix: str = "",
+    **options: Any,
 ) -> None:
+    """Build the layouts from the trusted layer; ``options`` (cutoffs, aliases, matcher, rule of
+    deduplication) go to both. With ``warehouse`` the layer is then loaded into tables there.
+    Intermediate tables are deleted once the layouts are stored.
+    """
     builders = {MASTER: master_table, INDICATORS: indicator_table}
     registry, reviews, complaints = (
         read_layer(spark, base, TRUSTED, name) for name in (REGISTRY, REVIEWS, COMPLAINTS)
     )
     for layout in layouts:
-        write_layer(builders[layout](registry, reviews, complaints), base, DELIVERY, layout)
+        with Workspace(spark) as workspace:
+            table = builders[layout](
+                registry, reviews, complaints, workspace=workspace, **options
+            )
+            publish_layer(table, base, DELIVERY, layout)
+    if warehouse is not None:
+        load_layer(spark, base, DELIVERY, warehouse, prefix=table_prefix)
 
 
 def run_all(
@@ -120,8 +157,9 @@ def run_all(
     *,
     rule: str = "literal",
     layouts: Sequence[str] = (MASTER, INDICATORS),
+    **options: Any,
 ) -> None:
-    """Run the layers in order. An error stops the run, so no layer is built on a broken one."""
+    """Run the layers in order; ``options`` are those of :func:`run_delivery`. An error stops the run, so no layer is built on a broken one."""
     run_raw(spark, files, base)
     run_trusted(spark, base, rule)
-    run_delivery(spark, base, layouts)
+    run_delivery(spark, base, layouts, **options)

@@ -38,6 +38,13 @@ class Workspace:
         self.spark = spark
         self.path = f"{scratch_root(spark)}/entiva-{uuid.uuid4().hex}"
 
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        """Delete the tables of the run; by then its result must be stored elsewhere."""
+        delete_path(self.spark, self.path)
+
     def folder(self, label: str) -> str:
         return f"{self.path}/{label}"
 

@@ -30,6 +30,8 @@ def read_delimited(
     recursive: bool = False,
     provenance: str | None = None,
     provenance_from: Column | None = None,
+    multi_line: bool = False,
+    expected_header: Sequence[str] | None = None,
 ) -> DataFrame:
     """Read delimited files with a header line; every column is text, named by position.
 
@@ -38,8 +40,15 @@ def read_delimited(
     column, made by a trailing separator, which is dropped. ``glob`` keeps matching file
     names, ``exclude`` drops names that contain the text. ``provenance`` adds the name of
     the file each row came from, or ``provenance_from`` if another expression is wanted.
+    ``multi_line`` lets quoted fields hold line breaks; a file is then one task.
+    ``expected_header`` lists the names of the header line (with that of ``phantom``); a file
+    with other names, or in another order, ends the job.
     """
     names = [*columns, phantom] if phantom else list(columns)
+    if expected_header is not None:
+        if len(expected_header) != len(names):
+            raise ValueError(f"expected_header has {len(expected_header)} of {len(names)} names")
+        names = list(expected_header)
     reader = (
         spark.read.schema(text_schema(names))
         .option("header", True)
@@ -48,13 +57,17 @@ def read_delimited(
         .option("quote", '"')
         .option("escape", escape)
         .option("recursiveFileLookup", recursive)
+        .option("multiLine", multi_line)
+        .option("enforceSchema", expected_header is None)
     )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.csv(path if isinstance(path, str) else list(path))
     if exclude:
         df = df.filter(~F.col("_metadata.file_name").contains(exclude))
-    kept: list[Column] = [F.col(f"`{name}`") for name in columns]
+    kept: list[Column] = [
+        F.col(f"`{name}`").alias(column) for name, column in zip(names, columns, strict=False)
+    ]
     if provenance:
         source = F.col("_metadata.file_name") if provenance_from is None else provenance_from
         kept.append(source.alias(provenance))
@@ -118,8 +131,14 @@ def read_jdbc(
     properties: Mapping[str, str],
     *,
     split: JdbcSplit | None = None,
+    in_one_task: bool = False,
     fetch_rows: int = 10_000,
 ) -> DataFrame:
-    """Scan a JDBC table. Select and filter the result: both are pushed into its query."""
+    """Scan a JDBC table. Select and filter the result: both are pushed into its query.
+
+    Without a ``split`` the whole table would go through one task, which must be asked for.
+    """
+    if split is None and not in_one_task:
+        raise ValueError("give a split, or in_one_task=True for a small table")
     options = jdbc_read_options(url, table, properties, split, fetch_rows)
     return spark.read.format("jdbc").options(**options).load()

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from entiva.session import delete_path, hadoop_path
 from entiva.sources.readers import layer_path, list_layer, read_layer
 
-# Declared widths of text columns in warehouse tables; other text is wide.
+# Declared widths of text columns in warehouse tables; other text is wide
+# where a database wants a width (JDBC) and unbounded in Parquet tables.
 TEXT_WIDTHS = {"nome": 500, "nome_norm": 255, "cnpj_norm": 20, "segmento": 10}
 WIDE_TEXT = 65535
 
@@ -31,6 +34,17 @@ def write_layer(df: DataFrame, base: str, layer: str, name: str) -> str:
     return path
 
 
+def publish_layer(df: DataFrame, base: str, layer: str, name: str) -> str:
+    """The same by way of a hidden folder: the dataset is replaced once its rows are written,
+    so a job that fails leaves the old one as it was."""
+    hidden = write_layer(df, base, layer, f"_{name}_{uuid.uuid4().hex}")
+    path = layer_path(base, layer, name)
+    delete_path(df.sparkSession, path)
+    filesystem, written = hadoop_path(df.sparkSession, hidden)
+    filesystem.rename(written, hadoop_path(df.sparkSession, path)[1])
+    return path
+
+
 def text_type(name: str, widths: Mapping[str, int]) -> str:
     return f"VARCHAR({widths.get(name, WIDE_TEXT)})"
 
@@ -55,8 +69,11 @@ def create_typed_table(
     """Create a Parquet catalog table if it is missing, with declared text widths."""
     columns = ", ".join(
         f"`{f.name}` "
-        + (text_type(f.name, widths) if isinstance(f.dataType, T.StringType)
-           else f.dataType.simpleString())
+        + (
+            text_type(f.name, widths)
+            if isinstance(f.dataType, T.StringType) and f.name in widths
+            else f.dataType.simpleString()
+        )
         for f in df.schema.fields
     )
     df.sparkSession.sql(
@@ -64,9 +81,15 @@ def create_typed_table(
     )
 
 
-def load_table(df: DataFrame, table: str, path: str, mode: str = "overwrite") -> None:
+def load_table(
+    df: DataFrame,
+    table: str,
+    path: str,
+    mode: str = "overwrite",
+    widths: Mapping[str, int] = TEXT_WIDTHS,
+) -> None:
     """Create the table if needed and fill it. Text longer than declared fails the load."""
-    create_typed_table(df, table, path)
+    create_typed_table(df, table, path, widths)
     df.write.insertInto(table, overwrite=mode == "overwrite")
 
 
@@ -78,6 +101,7 @@ def load_layer(
     *,
     prefix: str = "",
     mode: str = "overwrite",
+    widths: Mapping[str, int] = TEXT_WIDTHS,
 ) -> dict[str, str]:
     """Load every dataset of a layer into a table named after it; returns name to table.
 
@@ -88,7 +112,8 @@ def load_layer(
     for entry in list_layer(spark, base, layer):
         name = entry.removesuffix(".parquet")
         table = prefix + name
-        load_table(read_layer(spark, base, layer, entry), table, f"{warehouse}/{name}", mode)
+        stored = read_layer(spark, base, layer, entry)
+        load_table(stored, table, f"{warehouse}/{name}", mode, widths)
         tables[name] = table
     return tables
 

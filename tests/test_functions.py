@@ -14,7 +14,7 @@ from entiva.functions.keys import (
     only_keyed,
 )
 from entiva.functions.numbers import (
-    mean_of_fixed_point,
+    exact_mean,
     parse_decimal_comma,
     ratio,
     to_double,
@@ -95,8 +95,13 @@ def test_ratio_and_mean(spark):
     got = [r[0] for r in df.select(ratio(F.col("a"), F.col("b"))).collect()]
     assert got == [None, 0.25, None]
     df = spark.createDataFrame([("a", 0.1), ("a", 0.2), ("a", None), ("b", None)], "k string, v double")
-    got = dict(df.groupBy("k").agg(mean_of_fixed_point(F.col("v"))).collect())
+    got = dict(df.groupBy("k").agg(exact_mean(F.col("v"))).collect())
     assert got == {"a": 0.3 / 2, "b": None}
+    df = spark.createDataFrame([(0.004,), (0.004,)], "v double")
+    assert df.agg(exact_mean(F.col("v"))).first()[0] == 0.004
+    odd = ["NaN", "Infinity", "-Infinity", "0,004"]
+    assert apply(spark, parse_decimal_comma, odd) == [None, None, None, 0.004]
+    assert apply(spark, to_double, odd[:3]) == [None] * 3
 
 
 def test_whole_to_long_fails_on_a_fraction(spark):
@@ -110,6 +115,7 @@ def test_aliases(spark):
     df = spark.createDataFrame([("BB",), ("OTHER",), (None,), ("BB",)], "n string")
     got = sorted(map(tuple, resolve_aliases(df, "n", "c").collect()), key=str)
     assert got == [("BB", "BANCO DO BRASIL")] * 2 + [("OTHER", "OTHER"), (None, None)]
-    with pytest.raises(ValueError):
-        alias_table(spark, {str(i): "x" for i in range(100_001)})
+    many = spark.range(150_000).selectExpr("concat('A', id) as nome", "concat('C', id) as canonico")
+    got = resolve_aliases(spark.createDataFrame([("A149999",)], "n string"), "n", "c", many)
+    assert got.first()["c"] == "C149999"
     assert alias_table(spark, {}).count() == 0

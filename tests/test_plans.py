@@ -172,6 +172,13 @@ def test_full_run(spark, workspace, tmp_path):
     assert master["BANCO FIBRA S.A."]["indice_medio"] == 1015.5
     assert master["BANCO FIBRA S.A."]["nota_geral"] == 1.5
     assert master["CAIXA ECONOMICA FEDERAL"]["nota_geral"] == 1.5
+    losses = layers.loss_report(spark, workspace.path)
+    assert losses.count() == 17 and losses.filter("lost <> 0").isEmpty()
+    layers.run_delivery(
+        spark, workspace.path, [layers.MASTER], warehouse=workspace.folder("wh"),
+        table_prefix="t_run_", complaint_cutoff=90, review_cutoff=95,
+    )
+    assert spark.table("t_run_banco_final").count() == 2
     layout = read_layer(spark, workspace.path, "delivery", "bancos_indicadores")
     assert len(layout.columns) == 18 and layout.count() == 2
 
@@ -179,7 +186,7 @@ def test_full_run(spark, workspace, tmp_path):
 def test_a_failing_layer_stops_the_run(spark, workspace, tmp_path):
     files = write_sources(tmp_path)
     (tmp_path / "registry.tsv").write_text(f"Segmento\tCNPJ\tNome\nS1\t1\t{'A' * 256}\n")
-    with pytest.raises(ValueError, match="longer than"):
+    with pytest.raises(Exception, match="exceeds 255"):
         layers.run_all(spark, files, workspace.path)
     with pytest.raises(Exception):
         read_layer(spark, workspace.path, "delivery", "banco_final")

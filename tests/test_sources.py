@@ -67,11 +67,36 @@ def test_layers_and_typed_tables(spark, workspace):
         )
         assert tables == {"one": "t_src_one", "two": "t_src_two"}
         assert spark.table("t_src_two").count() == expected
+    long_text = df.withColumn("texto", F.lit("x" * 70_000))
+    load_table(long_text, "t_src_long", workspace.folder("wh/long"), widths={"segmento": 30})
+    assert spark.table("t_src_long").filter("length(texto) = 70000").count() == 1
     wide = df.withColumn("segmento", F.lit("x" * 11))
     with pytest.raises(Exception, match="(?i)exceeds|length"):
         load_table(wide, "t_src_one", workspace.folder("wh/one"))
 
 
+def test_header_is_checked_and_fields_may_hold_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('X;Y\n"one\ntwo";2\n')
+    read = [spark, str(tmp_path / "a.csv"), ["x", "y"]]
+    got = read_delimited(*read, sep=";", multi_line=True, expected_header=["X", "Y"])
+    assert [tuple(r) for r in got.collect()] == [("one\ntwo", "2")]
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(*read, sep=";", multi_line=True, expected_header=["Y", "X"]).collect()
+
+
+def test_a_table_is_read_in_one_task_only_on_request(spark):
+    with pytest.raises(ValueError, match="split"):
+        read_jdbc(spark, "jdbc:none:x", "t", {})
+
+
+def test_workspace_deletes_itself(spark):
+    with Workspace(spark) as own:
+        path = own.path
+        own.keep(spark.range(3), "x")
+    with pytest.raises(Exception):
+        spark.read.parquet(f"{path}/x")
+
+
 def test_jdbc_options(spark):
     df = spark.createDataFrame([], "nome string, url string, n bigint, d double, x decimal(11,2)")
     types = "`nome` VARCHAR(500), `url` VARCHAR(65535), `n` BIGINT, `d` DOUBLE PRECISION, `x` DECIMAL(11,2)"
