@@ -7,6 +7,7 @@ from entiva.sources.readers import (
     jdbc_read_options,
     list_layer,
     read_delimited,
+    read_jdbc,
     read_layer,
 )
 from entiva.sources.writers import (
