@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,18 +32,16 @@ def one_to_one(pairs: DataFrame, workspace: Workspace, label: str) -> DataFrame:
         f"{label}-pairs-0",
     )
     rank = F.struct((-F.col("score")).alias("down"), "tie", "left", "right", "score")
-    rounds: list[DataFrame] = []
+    step = 0
     while not remaining.isEmpty():
-        step = len(rounds)
         best_of_left = remaining.groupBy("left").agg(F.min(rank).alias("best")).select("best.*")
         best_of_right = remaining.groupBy("right").agg(F.min(rank).alias("best")).select("best.*")
         taken = workspace.keep(
             best_of_left.join(best_of_right.select("left", "right"), ["left", "right"]).select(
                 "left", "right", "score"
             ),
-            f"{label}-taken-{step}",
+            f"{label}-taken/round={step}",
         )
-        rounds.append(taken)
         remaining = workspace.keep(
             remaining.join(taken.select("left"), "left", "left_anti")
             .join(taken.select("right"), "right", "left_anti")
@@ -53,6 +49,7 @@ def one_to_one(pairs: DataFrame, workspace: Workspace, label: str) -> DataFrame:
             f"{label}-pairs-{step + 1}",
         )
         workspace.drop(f"{label}-pairs-{step}")
-    if not rounds:
+        step += 1
+    if not step:
         return remaining.select("left", "right", "score")
-    return reduce(DataFrame.unionByName, rounds)
+    return workspace.rounds(f"{label}-taken").select("left", "right", "score")

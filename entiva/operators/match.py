@@ -143,8 +143,8 @@ def levenshtein_pairs(
     similar = (
         (F.col("a.gram") == F.col("b.gram"))
         & (F.abs(F.length("a.text") - F.length("b.text")) <= allowed)
-        & (distance >= 0)
         & ~shared_earlier
+        & (distance >= 0)
     )
     return a.join(b, similar).select(
         F.col("a.name").alias("left"),

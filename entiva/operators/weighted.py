@@ -18,7 +18,6 @@ found through an index of one name per word and length.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -269,23 +268,24 @@ def shared_word_one_to_one(
     Rounds of offers, each settled best first. A round that settles nothing is followed by
     one without spreading; if that finds no offer, no pair is left.
     """
-    found: list[DataFrame] = []
-    spread, number = True, 0
+    spread, number, settled = True, 0, False
     while True:
         offers = workspace.keep(
             _shared_word_offers(left, right, number, spread), f"{label}-offers-{number}"
         )
         empty = offers.isEmpty()
         if not empty:
-            found.append(one_to_one(offers, workspace, f"{label}-round-{number}"))
-            left = workspace.keep(without(left, found[-1], "left"), f"{label}-l-{number}")
-            right = workspace.keep(without(right, found[-1], "right"), f"{label}-r-{number}")
+            found = workspace.keep(
+                one_to_one(offers, workspace, f"{label}-round-{number}"),
+                f"{label}-found/round={number}",
+            )
+            settled = True
+            left = workspace.keep(without(left, found, "left"), f"{label}-l-{number}")
+            right = workspace.keep(without(right, found, "right"), f"{label}-r-{number}")
         elif not spread:
             break
         spread, number = not empty, number + 1
-    if not found:
-        return offers
-    return reduce(DataFrame.unionByName, found)
+    return workspace.rounds(f"{label}-found") if settled else offers
 
 
 def weighted_matcher(

@@ -57,6 +57,11 @@ class Workspace:
         df.write.mode("overwrite").parquet(folder, partitionBy=by)
         return self.spark.read.schema(df.schema).parquet(folder)
 
+    def rounds(self, label: str) -> DataFrame:
+        """All that was kept under ``label/round=0``, ``label/round=1``, ... as one table, so
+        that the plan does not grow with the number of rounds."""
+        return self.spark.read.parquet(self.folder(label)).drop("round")
+
     def drop(self, label: str) -> None:
         """Delete a table of this run that no later step reads."""
         delete_path(self.spark, self.folder(label))
