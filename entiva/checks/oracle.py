@@ -437,6 +437,11 @@ select employer_name, nome, cnpj, segmento, origem, {", ".join(RATING_COLUMNS)},
     "delivery_master_table": MASTER,
     "delivery_indicators": INDICATOR_TABLE,
     "job_full_run": MASTER,
+    "job_full_run_indicators": INDICATOR_TABLE,
+    "job_raw_counts": f"""with {RAW_REGISTRY}, {RAW_COMPLAINTS}, {RAW_REVIEWS}
+select 'bancos' as table_name, count(*) as n_rows from raw_registry
+union all select 'empregados', count(*) from raw_reviews
+union all select 'reclamacoes', count(*) from raw_complaints""",
     "report_cast_losses": f"""with {REVIEWS}, {COMPLAINTS}
 {" union all ".join(
     f"select '{name}' as dataset, '{c}' as field, "

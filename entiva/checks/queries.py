@@ -552,6 +552,17 @@ def job_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, workspace.path, layers.RAW, layers.COMPLAINTS)
 
 
+@query
+def job_raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workspace = Workspace(spark)
+    files = standins.write_source_files(spark, sf_dir, workspace)
+    layers.run_raw(spark, files, workspace.path)
+    names = (layers.REGISTRY, layers.REVIEWS, layers.COMPLAINTS)
+    return quality.layer_counts(
+        {name: read_layer(spark, workspace.path, layers.RAW, name) for name in names}
+    )
+
+
 @query
 def job_trusted_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry(spark, sf_dir)
@@ -591,6 +602,14 @@ def job_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, workspace.path, layers.DELIVERY, layers.MASTER)
 
 
+@query
+def job_full_run_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workspace = Workspace(spark)
+    files = standins.write_source_files(spark, sf_dir, workspace)
+    layers.run_all(spark, files, workspace.path, layouts=[layers.INDICATORS])
+    return read_layer(spark, workspace.path, layers.DELIVERY, layers.INDICATORS)
+
+
 @query
 def report_cast_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace = Workspace(spark)
