@@ -98,6 +98,19 @@ def mapped(path: str) -> np.ndarray:
         return np.memmap(copy.name, np.uint8, "r")
 
 
+def _nth(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Place of the one with this rank (from 0) in each 64-bit word."""
+    place = np.zeros(len(rank), np.uint64)
+    for half in (32, 16, 8, 4, 2, 1):
+        below = np.bitwise_count(words & np.uint64((1 << half) - 1)).astype(np.uint64)
+        up = rank >= below
+        rank = rank - np.where(up, below, 0).astype(np.uint64)
+        step = np.where(up, half, 0).astype(np.uint64)
+        words = words >> step
+        place += step
+    return place.astype(np.int64)
+
+
 class EliasFano:
     """One stored sequence and its columns."""
 
@@ -117,19 +130,17 @@ class EliasFano:
     def _zero(self, number: np.ndarray) -> np.ndarray:
         """Places of the zeros with these numbers."""
         word = np.searchsorted(self.zeros, number, side="right")
-        left = ~self.upper[word]
-        rank = (
-            number - np.where(word > 0, self.zeros[np.maximum(word, 1) - 1], 0).astype(np.int64)
-        ).astype(np.uint64)
-        place = np.zeros(len(number), np.uint64)
-        for half in (32, 16, 8, 4, 2, 1):
-            below = np.bitwise_count(left & np.uint64((1 << half) - 1)).astype(np.uint64)
-            up = rank >= below
-            rank -= np.where(up, below, 0).astype(np.uint64)
-            step = np.where(up, half, 0).astype(np.uint64)
-            left >>= step
-            place += step
-        return word * 64 + place.astype(np.int64)
+        before = np.where(word > 0, self.zeros[np.maximum(word, 1) - 1], 0).astype(np.int64)
+        return word * 64 + _nth(~self.upper[word], (number - before).astype(np.uint64))
+
+    def keys(self, index: np.ndarray) -> np.ndarray:
+        """The keys at these places."""
+        if not hasattr(self, "_ones"):
+            self._ones = 64 * np.arange(1, len(self.zeros) + 1) - self.zeros
+        word = np.searchsorted(self._ones, index, side="right")
+        before = np.where(word > 0, self._ones[np.maximum(word, 1) - 1], 0)
+        place = word * 64 + _nth(self.upper[word], (index - before).astype(np.uint64))
+        return (place - index).astype(np.uint64) << np.uint64(self.width) | self._low(index)
 
     def _low(self, index: np.ndarray) -> np.ndarray:
         width = np.uint64(self.width)

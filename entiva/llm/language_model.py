@@ -84,30 +84,33 @@ class Reader:
         result = np.full(len(keys), -1, np.int64)
         if not shards:
             return result
-        own = shard_of(keys, len(shards), level)
-        order = np.argsort(own, kind="stable")
-        bounds = np.searchsorted(own[order], np.arange(len(shards) + 1))
-        for s, shard in enumerate(shards):
-            part = order[bounds[s] : bounds[s + 1]]
+        for s, part in parts_of(shard_of(keys, len(shards), level), len(shards)):
             if len(part):
-                at = shard.find(keys[part])
+                at = shards[s].find(keys[part])
                 result[part] = np.where(at >= 0, at + self.trie.starts[level - 1][s], -1)
         return result
 
     def column(self, level: int, which: int, nodes: np.ndarray) -> np.ndarray:
         """A stored column at these nodes."""
-        starts = self.trie.starts[level - 1]
-        shard = np.searchsorted(starts, nodes, side="right") - 1
-        order = np.argsort(shard, kind="stable")
-        bounds = np.searchsorted(shard[order], np.arange(len(starts) + 1))
         result = np.zeros(len(nodes), np.float64)
-        for s, one in enumerate(self.levels[level - 1]):
-            part = order[bounds[s] : bounds[s + 1]]
-            if len(part):
-                values = one.columns[which][nodes[part] - starts[s]]
-                result[part] = values
+        for shard, part, at in self.places(level, nodes):
+            result[part] = shard.columns[which][at]
+        return result
+
+    def keys(self, level: int, nodes: np.ndarray) -> np.ndarray:
+        result = np.zeros(len(nodes), np.uint64)
+        for shard, part, at in self.places(level, nodes):
+            result[part] = shard.keys(at)
         return result
 
+    def places(self, level: int, nodes: np.ndarray) -> Iterator[tuple]:
+        """For each shard that has some of the nodes: it, which ones, and their places in it."""
+        starts = self.trie.starts[level - 1]
+        own = np.searchsorted(starts, nodes, side="right") - 1
+        for s, part in parts_of(own, len(starts)):
+            if len(part):
+                yield self.levels[level - 1][s], part, nodes[part] - starts[s]
+
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         trie = self.trie
         return (counts + ADDED) / (trie.tokens + ADDED * (trie.words + 1))
@@ -123,6 +126,16 @@ class Reader:
         return p
 
 
+def parts_of(own: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard's number and the places where ``own`` has it, in order."""
+    if shards <= 1 << 16:
+        own = own.astype(np.uint16)  # sorted by counting, not by comparing
+    order = np.argsort(own, kind="stable")
+    bounds = np.searchsorted(own[order], np.arange(shards + 1)).tolist()
+    for s in range(shards):
+        yield s, order[bounds[s] : bounds[s + 1]]
+
+
 def shard_of(keys: np.ndarray, shards: int, level: int) -> np.ndarray:
     """Level 1 is dealt out by the hash of the word, which is its key; others are hashed."""
     hashed = keys if level == 1 else mix(keys)
@@ -205,13 +218,10 @@ def runs(texts: DataFrame, trie: Trie, level: int, shards: int) -> DataFrame:
 
         def sent() -> pa.RecordBatch:
             keys, counts = summed(*map(np.concatenate, zip(*held, strict=True)))
-            own = shard_of(keys, shards, level)
-            order = np.argsort(own, kind="stable")
-            bounds = np.searchsorted(own[order], np.arange(shards + 1)).tolist()
             rows = [
-                encode_run(s, keys[order[b:e]], counts[order[b:e]])
-                for s, (b, e) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))
-                if e > b
+                encode_run(s, keys[part], counts[part])
+                for s, part in parts_of(shard_of(keys, shards, level), shards)
+                if len(part)
             ]
             kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays(
@@ -262,12 +272,13 @@ def build(rows: DataFrame, trie: Trie, level: int) -> list[tuple[int, int, int]]
                 above = reader.column(1, 0, context)
             else:
                 above = count_of(reader.column(level - 1, 1, context))
-                suffix = last_words(reader, level - 1, context)
+                suffix = reader.keys(level - 1, context) % np.uint64(trie.words)
+                suffix = suffix.astype(np.int64)
                 lower = suffix_probability(reader, suffix, word, lower)
             p = (counts + trie.weight * lower) / (above + trie.weight)
-            columns = [quantised(np.log10(p)), count_codes(counts)]
-            if 2 <= level < trie.order:
-                columns.append(word.astype(np.uint32 if trie.words < 2**32 else np.uint64))
+            columns = [quantised(np.log10(p))]
+            if level < trie.order:  # as contexts of the next level
+                columns.append(count_codes(counts))
         write(trie.path(level, shard), keys, columns)
         return pa.table(
             {"shard": [shard], "nodes": [len(keys)], "tokens": [int(counts.sum())]},
@@ -277,12 +288,8 @@ def build(rows: DataFrame, trie: Trie, level: int) -> list[tuple[int, int, int]]
         )
 
     done = rows.groupBy("shard").applyInArrow(merge, "shard int, nodes long, tokens long")
-    return [(r.shard, r.nodes, r.tokens) for r in done.collect()]  # three numbers per shard
-
-
-def last_words(reader: Reader, level: int, nodes: np.ndarray) -> np.ndarray:
-    """The word a node of ``level`` ends with."""
-    return reader.column(level, 2, nodes).astype(np.int64)
+    # three numbers per shard
+    return [(r.shard, r.nodes, r.tokens) for r in done.collect()]
 
 
 def suffix_probability(
@@ -337,8 +344,7 @@ def train(
 def empty_columns(trie: Trie, level: int) -> list[np.ndarray]:
     if level == 1:
         return [np.zeros(0, np.int64)]
-    kinds = [np.uint16, np.uint16, np.uint32]
-    return [np.zeros(0, k) for k in kinds[: 3 if level < trie.order else 2]]
+    return [np.zeros(0, np.uint16)] * (2 if level < trie.order else 1)
 
 
 def scores(

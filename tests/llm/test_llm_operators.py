@@ -210,6 +210,7 @@ def test_elias_fano_round_trip(tmp_path, n, universe):
     write(path, keys, [np.arange(len(keys), dtype=np.uint16)])
     stored = EliasFano(path)
     assert (stored.find(keys) == np.arange(len(keys))).all()
+    assert (stored.keys(np.arange(len(keys))) == keys).all()
     others = np.setdiff1d(draw.integers(0, universe + 5, 2000, dtype=np.uint64), keys)
     assert (stored.find(others) == -1).all()
 
