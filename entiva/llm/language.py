@@ -61,10 +61,20 @@ def fit(
         F.xxhash64(F.col("id"), F.length("text")).alias("draw"),
         F.substring("text", 1, sample_chars).alias("text"),
     )
-    by_draw = Window.partitionBy("lang").orderBy("draw", "text")
-    # the row limit is pushed below the exchange: a task sends its lowest rows only
-    chosen = rows.withColumn("n", F.row_number().over(by_draw)).filter(
-        F.col("n") <= sample_documents
+    # drawn without the texts, and with the limit pushed below the exchange, so that a task
+    # sends a few numbers; then the texts of those drawn
+    by_draw = Window.partitionBy("lang").orderBy("draw")
+    drawn = (
+        rows.select("lang", "draw")
+        .withColumn("n", F.row_number().over(by_draw))
+        .filter(F.col("n") <= sample_documents)
+        .groupBy("lang", "draw")
+        .agg(F.min("n").alias("n"))
+    )
+    chosen = (
+        rows.join(F.broadcast(drawn), ["lang", "draw"])  # sample_documents per language
+        .groupBy("lang", "n")
+        .agg(F.min("text").alias("text"))
     )
     texts: dict[str, list[tuple[int, str]]] = {}
     for row in chosen.collect():  # sample_documents x sample_chars per language at most
