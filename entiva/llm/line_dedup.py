@@ -6,14 +6,15 @@ that share a variant at the same place (a replacement), or of which one is the o
 (an insertion), are compared word by word. A key keeps its earliest line only, so thousands of
 lines from one template cost one entry each and no pairs.
 
-Lines that no other could be within the bound of emit nothing: an edit leaves the first or the
-second half of a line alone, so only lines that share a half with another text go on.
+Lines that no other could be within the bound of emit nothing: an edit leaves one half of a
+line alone, and seven of its eighths, so only lines that share these with another text go on.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from entiva.llm.common import attach, text_or_empty
 from entiva.session import Workspace
@@ -22,7 +23,7 @@ LINE = ["k1", "k2"]
 
 
 def lines_of(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``doc_id, line_no`` (from 0) and the line's ``words``, joined by one space."""
+    """``doc_id, line_no`` (from 0) and ``line``, the text of the line."""
     rows = documents.select(
         F.col(id_column).alias("doc_id"), text_or_empty(text_column).alias("text")
     ).filter("doc_id is not null")
@@ -31,21 +32,72 @@ def lines_of(documents: DataFrame, id_column: str, text_column: str) -> DataFram
     ).select(
         "doc_id",
         "line_no",
-        F.trim(F.regexp_replace("line", r"[\x20\x09-\x0D]+", " ")).alias("words"),
+        "line",
     )
 
 
-def half_keys(words: Column, n: Column) -> Column:
-    """Hashes of the first and second half, as a line of ``n`` words and of one less."""
+def single_spaced(line: Column) -> Column:
+    """The words of a line joined by one space; most lines are so already."""
+    odd = line.rlike(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$")
+    return F.when(odd, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
+
+
+def part_keys(words: Column, n: Column, parts: int) -> Column:
+    """Hashes of all but one of ``parts`` parts, for each part, as a line of ``n`` words and as
+    one of one word less. Two lines within one edit of each other share one of them."""
     keys = []
     for m in (n, n - 1):
-        first = F.floor(m / 2).cast("int")
-        second = (m - first).cast("int")
-        keys.append(F.xxhash64(F.lit("first"), m, F.slice(words, 1, first)))
-        keys.append(F.xxhash64(F.lit("last"), m, F.slice(words, n - second + 1, second)))
+        for part in range(parts):
+            ahead = F.floor(m * part / parts).cast("int")
+            behind = (m - F.floor(m * (part + 1) / parts)).cast("int")
+            before = [F.slice(words, 1, ahead)] if part else []
+            after = [F.slice(words, n - behind + 1, behind)] if part < parts - 1 else []
+            keys.append(F.xxhash64(F.lit(part), m, *before, *after))
     return F.array(*keys)
 
 
+def sharing(lines: DataFrame, keys: str) -> DataFrame:
+    """The lines that have one of their ``keys`` in common with another line."""
+    each = lines.select("line", F.explode(keys).alias("key"))
+    shared = each.groupBy("key").agg(F.count("*").alias("lines")).filter("lines > 1")
+    return each.join(shared.select("key"), "key", "left_semi").select("line").distinct()
+
+
+#: A sieve of so many buckets of 63 bits is broadcast; its size does not depend on the data.
+BUCKETS = 1 << 17
+BIT = "shiftleft(1L, cast(pmod(shiftright(xxhash64(line), 20), 63) as int))"
+
+
+def sieve(lines: DataFrame) -> DataFrame:
+    """Which bits of which bucket the hashes of the column ``line`` set."""
+    return lines.groupBy(F.expr(f"pmod(xxhash64(line), {BUCKETS})").alias("bucket")).agg(
+        F.expr(f"bit_or({BIT})").alias("bits")
+    )
+
+
+def sifted(rows: DataFrame, bits: DataFrame) -> DataFrame:
+    """Rows whose ``line`` may be among those of the sieve; it lets a few others pass, and the
+    more the fuller it is, so an exact join follows."""
+    bucketed = rows.withColumn("bucket", F.expr(f"pmod(xxhash64(line), {BUCKETS})"))
+    return (
+        bucketed.join(F.broadcast(bits), "bucket")
+        .filter(f"bits & {BIT} <> 0")
+        .drop("bucket", "bits")
+    )
+
+
+def place_of(rows: DataFrame) -> Column:
+    """A line's place in the order by id, then line: one number if ids and lines are small
+    enough for that, which sorts and sends less, else both."""
+    both = F.struct("doc_id", "line_no")
+    if not isinstance(rows.schema["doc_id"].dataType, IntegralType):
+        return both
+    ends = rows.agg(F.min("doc_id"), F.max("doc_id"), F.max("line_no")).first()
+    if ends[0] is None or ends[0] < 0 or ends[1] >= 1 << 40 or ends[2] >= 1 << 22:
+        return both
+    return F.shiftleft(F.col("doc_id").cast("long"), 22).bitwiseOR(F.col("line_no").cast("long"))
+
+
 def variants(lines: DataFrame) -> DataFrame:
     """``line, n, at, rest, hash``: each line with the word ``at`` left out, and the whole line
     as one with ``at`` -1. ``rest`` is the number of words hashed.
@@ -96,48 +148,56 @@ def repeated_lines(
     lines count once. An empty table gives no rows; other columns are ignored.
     """
     workspace = workspace or Workspace(documents.sparkSession)
-    words = F.split("words", " ")
-    keyed = lines_of(documents, id_column, text_column).select(
-        "doc_id",
-        "line_no",
-        F.xxhash64("words").alias("k1"),
-        F.xxhash64(F.lit("second"), "words").alias("k2"),
-        F.size(words).alias("n"),
-        words.alias("words"),
+    all_lines = lines_of(documents, id_column, text_column)
+    keyed = (
+        all_lines.select("doc_id", "line_no", single_spaced(F.col("line")).alias("text"))
+        .select(
+            "doc_id",
+            "line_no",
+            F.xxhash64("text").alias("k1"),
+            F.xxhash64(F.lit("second"), "text").alias("k2"),
+            F.split("text", " ").alias("words"),
+        )
+        .withColumn("n", F.size("words"))
+        .filter(F.col("n") >= least_words)
     )
     rows = workspace.keep(
-        keyed.filter(F.col("n") >= least_words).select(
+        keyed.select(
             "doc_id",
             "line_no",
             *LINE,
-            "n",
-            F.when(F.col("n") >= least_near_words - 1, half_keys(F.col("words"), F.col("n"))).alias(
-                "halves"
-            ),
+            F.when(
+                F.col("n") >= least_near_words - 1, part_keys(F.col("words"), F.col("n"), 2)
+            ).alias("halves"),
         ),
         "line_keys",
     )
+    place = place_of(rows)
     texts = workspace.keep(
         rows.groupBy(*LINE).agg(
-            F.min(F.struct("doc_id", "line_no")).alias("line"),
+            F.min(place).alias("line"),
             F.count("*").alias("group_size"),
-            F.any_value("n").alias("n"),
             F.any_value("halves").alias("halves"),
         ),
         "line_texts",
     )
-    halves = texts.filter("halves is not null").select("line", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.count("*").alias("lines")).filter("lines > 1")
+    # First those that share a half with another text, then, of these, seven eighths.
+    halved = workspace.keep(sharing(texts.filter("halves is not null"), "halves"), "halved")
+    with_place = sifted(
+        all_lines.select(place.alias("line"), F.col("line").alias("text")), sieve(halved)
+    )
+    half_words = workspace.keep(
+        with_place.join(halved, "line", "left_semi")
+        .select("line", F.split(single_spaced(F.col("text")), " ").alias("words"))
+        .select("line", F.size("words").alias("n"), "words"),
+        "half_words",
+    ).dropDuplicates(["line"])
+    eighths = part_keys(F.col("words"), F.col("n"), 8)
     suspects = workspace.keep(
-        halves.join(shared.select("half"), "half", "left_semi").select("line").distinct(),
-        "suspects",
+        sharing(half_words.select("line", eighths.alias("eighths")), "eighths"), "suspects"
     )
     own_words = workspace.keep(
-        keyed.withColumn("line", F.struct("doc_id", "line_no"))
-        .join(suspects, "line", "left_semi")
-        .select("line", "n", "words")
-        .dropDuplicates(["line"]),
-        "suspect_words",
+        half_words.join(suspects, "line", "left_semi"), "suspect_words"
     )
     keys = workspace.keep(variants(own_words), "variants")
     # replacements share a place; an insertion is a line that is another's variant
@@ -187,7 +247,7 @@ def repeated_lines(
         ),
         "judged_texts",
     )
-    later = F.struct("doc_id", "line_no") > F.col("line")
+    later = place > F.col("line")
     return (
         attach(rows.select("doc_id", "line_no", *LINE), judged, LINE)
         .filter(later | F.col("near"))
