@@ -5,18 +5,25 @@ Windows of template words are hashed and joined with those of the benchmark, so
 question with other numbers or other names still meets its original. Then the slots are
 compared: a re-parameterised question puts one value of its own, of the same kind, wherever the
 original repeats a value. A coincidence of frames does not.
+
+An item is read in up to four ways, and found if one of them finds it: with names as
+placeholders (``NAMES``), with names as plain lower-case words (``PLAIN``, so that the case of
+a copy does not decide), word by word with its values (``RAW``, for items in which some window
+is mostly placeholders), and as a whole (``SHORT``, for items of one word less than a window).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entiva.llm.common import text_or_empty
 from entiva.session import Workspace
 
-#: Marks, from the private use area: a word that is a name; then the three placeholders.
-MARK, NAME, NUMBER, UNIT = "", "", "", ""
+#: Marks, from the private use area: a word that is a name; a separator inside a number; then
+#: the three placeholders.
+MARK, POINT, NAME, NUMBER, UNIT = "\ue000", "\ue004", "\ue001", "\ue002", "\ue003"
+NAMES, PLAIN, RAW, SHORT = "names", "plain", "raw", "short"
 
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg t ton tons lb "
@@ -31,43 +38,188 @@ def raw_words(text: Column) -> Column:
     """Words of letters and digits joined by one space, names marked.
 
     A name is a capitalised word that follows a word or a comma, so does not begin a sentence.
+    A number keeps its points and commas, as one word.
     """
-    marked = F.regexp_replace(text, r"(?=\p{Lu}\p{Ll})(?<=[\p{L}\p{N},;] )", MARK)
-    return F.trim(F.regexp_replace(marked, rf"[^\p{{L}}\p{{N}}{MARK}]+", " "))
+    spaced = F.regexp_replace(text, r"[\s\p{Z}]+", " ")
+    pointed = F.regexp_replace(spaced, r"(?<=\p{N})[.,](?=\p{N})", POINT)
+    marked = F.regexp_replace(pointed, r"(?=\p{Lu}\p{Ll})(?<=[\p{L}\p{N},;] )", MARK)
+    return F.trim(F.regexp_replace(marked, rf"[^\p{{L}}\p{{N}}{MARK}{POINT}]+", " "))
 
 
-def template(words: Column) -> Column:
-    """Lower-case words with placeholders, as many as ``words`` has."""
-    named = F.when(
-        words.contains(MARK), F.regexp_replace(words, rf"{MARK}[^ ]+", NAME)
-    ).otherwise(words)
+def typed(words: Column) -> Column:
+    """Lower-case words, names still marked, with placeholders of numbers and units."""
     units = "|".join(UNITS)
     # tried at the start of a word only, so that a long word costs no more than its length
-    numbered = F.regexp_replace(named, r"(?<![^ ])[^ \p{N}]*+\p{N}[^ ]*+", NUMBER)
+    numbered = F.regexp_replace(words, r"(?<![^ ])[^ \p{N}]*+\p{N}[^ ]*+", NUMBER)
     with_units = F.regexp_replace(
-        F.lower(numbered), rf"(?<={NUMBER} )(?:{units})(?= |$)", UNIT
+        F.lower(numbered), rf"(?<={NUMBER} ){MARK}?(?:{units})(?= |$)", UNIT
     )
     # most texts have no digit, and finding that out is cheap
-    return F.when(words.rlike(r"\p{N}"), with_units).otherwise(F.lower(named))
+    return F.when(words.rlike(r"\p{N}"), with_units).otherwise(F.lower(words))
+
+
+def template(typed_words: Column) -> Column:
+    """One placeholder for every run of marked names."""
+    return F.regexp_replace(typed_words, rf"{MARK}[^ ]+(?: {MARK}[^ ]+)*", NAME)
+
+
+def unmarked(words: Column) -> Column:
+    return F.replace(words, F.lit(MARK), F.lit(""))
+
+
+def is_placeholder(word: Column) -> Column:
+    return word.isin(NAME, NUMBER, UNIT)
+
+
+def window_hashes(hashes: Column, size: int, chosen=None) -> Column:
+    """Array of one hash per window of ``size`` words; ``chosen(i)`` may say otherwise."""
+    at = chosen or (lambda i: _hash_at(hashes, i, size))
+    return F.when(
+        F.size(hashes) >= size, F.transform(F.sequence(F.lit(0), F.size(hashes) - size), at)
+    ).otherwise(F.array().cast("array<bigint>"))
+
+
+def _hash_at(hashes: Column, i: Column, size: int) -> Column:
+    return F.xxhash64(*[F.get(hashes, i + k) for k in range(size)])
+
+
+def _raw_hash_at(hashes: Column, i: Column, size: int) -> Column:
+    return F.xxhash64(*[F.get(hashes, i + k) for k in range(size)], F.lit(RAW))
+
+
+def _literals_at(flags: Column, i: Column, size: int) -> Column:
+    return sum((F.get(flags, i + k) for k in range(1, size)), F.get(flags, i))
+
+
+def _hashed(words: Column) -> Column:
+    return F.transform(F.split(words, " "), lambda w: F.xxhash64(w))
 
 
-def windows(rows: DataFrame, size: int) -> DataFrame:
-    """``place`` and ``hash`` of every window of ``size`` words of the text ``words``."""
-    own = [c for c in rows.columns if c != "words"]
-    hashed = rows.select(
-        *own, F.transform(F.split("words", " "), lambda w: F.xxhash64(w)).alias("hashes")
+def _flags(words: Column) -> Column:
+    return F.transform(F.split(words, " "), lambda w: (~is_placeholder(w)).cast("int"))
+
+
+def sought(texts: DataFrame, window: int, least_literals: int, short: bool) -> DataFrame:
+    """``hash`` of every window of the texts by which an item can be found first: that of the
+    template if it has enough literal words, else that of the raw words."""
+    own = [c for c in texts.columns if c != "text"]
+    rows = texts.select(*own, raw_words(F.col("text")).alias("raw"))
+    rows = rows.select(*own, "raw", typed(F.col("raw")).alias("typed"))
+    rows = rows.select(
+        *own,
+        F.col("typed").rlike(rf"[{NUMBER}{UNIT}]").alias("valued"),
+        F.col("typed").contains(MARK).alias("named"),
+        unmarked(F.col("typed")).alias("plain"),
+        template(F.col("typed")).alias("names"),
+        F.lower(unmarked(F.col("raw"))).alias("raw"),
     )
-    return hashed.select(
+    rows = rows.select(
         *own,
-        F.posexplode(
+        "valued",
+        _hashed(F.col("plain")).alias("plain"),
+        F.when(F.col("valued"), _flags(F.col("plain"))).alias("flags"),
+        F.when(F.col("valued") | F.lit(short), _hashed(F.col("raw"))).alias("raw"),
+        F.when(F.col("named"), _hashed(F.col("names"))).alias("names"),
+        F.when(F.col("named"), _flags(F.col("names"))).alias("name_flags"),
+        F.when(
+            F.col("named"),
+            F.transform(F.split("names", " "), lambda w: (w == NAME).cast("int")),
+        ).alias("name_at"),
+    )
+    plain = F.when(
+        F.col("valued"),
+        window_hashes(
+            F.col("plain"),
+            window,
+            lambda i: F.when(
+                _literals_at(F.col("flags"), i, window) >= least_literals,
+                _hash_at(F.col("plain"), i, window),
+            ).otherwise(_raw_hash_at(F.col("raw"), i, window)),
+        ),
+    ).otherwise(window_hashes(F.col("plain"), window))
+    names = F.when(
+        F.col("names").isNotNull(),
+        window_hashes(
+            F.col("names"),
+            window,
+            lambda i: F.when(
+                (_literals_at(F.col("name_at"), i, window) > 0)
+                & (_literals_at(F.col("name_flags"), i, window) >= least_literals),
+                _hash_at(F.col("names"), i, window),
+            ),
+        ),
+    ).otherwise(F.array().cast("array<bigint>"))
+    parts = [plain, names]
+    if short:
+        size = window - 1
+        parts.append(
+            window_hashes(F.col("raw"), size, lambda i: _raw_hash_at(F.col("raw"), i, size))
+        )
+    return rows.select(*own, F.explode(F.concat(*parts)).alias("hash")).filter("hash is not null")
+
+
+def readings(rows: DataFrame, window: int) -> DataFrame:
+    """Every reading of ``raw``: its words and, of each, the value in the text."""
+    own = [c for c in rows.columns if c != "raw"]
+    # arrays are columns before they are indexed, so that no text is split once per word
+    rows = rows.withColumn("typed", typed(F.col("raw"))).select(
+        *own,
+        "typed",
+        F.split("typed", " ").alias("typed_words"),
+        F.split(F.lower(unmarked(F.col("raw"))), " ").alias("values"),
+    )
+    # of a run of names the first one stands for all, as in the template
+    values = F.col("values")
+    in_run = lambda i: (i > 0) & F.get("typed_words", i).startswith(MARK) & F.get(
+        "typed_words", i - 1
+    ).startswith(MARK)
+    first = F.filter("values", lambda v, i: ~in_run(i))
+
+    def reading(kind: str, words: Column, own_values: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("reading"), words.alias("words"), own_values.alias("values")
+        )
+
+    return (
+        rows.select(
+            *own,
+            F.inline(
+                F.array(
+                    reading(
+                        NAMES,
+                        F.split(template(F.col("typed")), " "),
+                        first,
+                    ),
+                    reading(PLAIN, F.split(unmarked(F.col("typed")), " "), values),
+                    reading(RAW, values, values),
+                    reading(SHORT, values, values),
+                )
+            ),
+        )
+    )
+
+
+def placed(rows: DataFrame, window: int) -> DataFrame:
+    """``place``, ``hash`` and number of ``literals`` of every window of ``words``."""
+    own = [c for c in rows.columns if c not in ("words", "values")]
+    size = F.when(F.col("reading") == SHORT, window - 1).otherwise(window)
+
+    def window_at(i: Column) -> Column:
+        part = F.slice("words", i + 1, size)
+        return F.struct(
+            i.alias("place"),
+            F.xxhash64(part).alias("hash"),
+            F.size(F.filter(part, lambda w: ~is_placeholder(w))).alias("literals"),
+        )
+
+    return rows.select(
+        *own,
+        F.inline(
             F.when(
-                F.size("hashes") >= size,
-                F.transform(
-                    F.sequence(F.lit(0), F.size("hashes") - size),
-                    lambda i: F.xxhash64(*[F.get("hashes", i + k) for k in range(size)]),
-                ),
+                F.size("words") >= size,
+                F.transform(F.sequence(F.lit(0), F.size("words") - size), window_at),
             )
-        ).alias("place", "hash"),
+        ),
     )
 
 
@@ -87,123 +239,225 @@ def contaminated(
     """``doc_id, item_id, coverage, n_slots, changed_slots, consistency``, one row for each
     document that holds a benchmark item.
 
-    ``coverage`` is the share of the item's windows (of ``window`` words, at least
-    ``least_literals`` of them no placeholders) found anywhere in the document,
-    ``consistency`` the share of its slots that agree with one assignment of values (1
-    without slots). Items with the same template are looked up as one and reported each.
-    Items with fewer than ``window`` words match nothing; null and empty texts and rows with a
-    null id neither. Repeated documents give repeated pairs only once per id. An empty table
-    on either side gives no rows; other columns are ignored. Windows of documents are never
-    stored; the hits and the benchmark's windows are, in the shared folder.
+    ``coverage`` is the share of the item's windows (of ``window`` words, each weighing as much
+    as it has words that are no placeholders) found anywhere in the document; by raw words all
+    windows weigh the same. A text is looked up by its windows of at least ``least_literals``
+    such words, and by the raw words of its other windows. ``consistency`` is the share of the
+    item's slots that agree with one assignment of values (1 without slots); a slot is
+    looked at where a window found covers it, at that window's own shift. The reading with the
+    largest coverage is reported.
+
+    Items with ``window - 1`` words are found by their raw words. Items with fewer words match
+    nothing; null and empty texts and rows with a null id neither. Repeated documents give
+    repeated pairs only once per id. An empty table on either side gives no rows; other columns
+    are ignored. Windows of documents are stored only of texts that can hold an item; the hits
+    and the benchmark's windows are, in the shared folder.
     """
     workspace = workspace or Workspace(documents.sparkSession)
     items = workspace.keep(
         benchmark.select(
             F.col(item_column).alias("item_id"),
             raw_words(text_or_empty(item_text_column)).alias("raw"),
-        )
-        .filter("item_id is not null")
-        .withColumn("words", template(F.col("raw"))),
+        ).filter("item_id is not null"),
         "items",
     )
-    # one item stands for all with its template
-    distinct = items.groupBy("words").agg(
-        F.min_by("raw", "item_id").alias("raw"), F.min("item_id").alias("item")
-    )
-    placeholder = F.col("word").isin(NAME, NUMBER, UNIT)
-    in_window = F.slice(F.split("words", " "), F.col("item_place") + 1, window)
-    literals = F.size(F.filter(in_window, lambda w: ~w.isin(NAME, NUMBER, UNIT)))
-    of_items = workspace.keep(
-        windows(distinct.select("item", "words"), window)
-        .withColumnRenamed("place", "item_place")
-        .join(distinct.select("item", "words"), "item")
-        .filter(literals >= least_literals)
-        .select("item", "item_place", "hash"),
-        "item_windows",
-    )
-    counted = of_items.groupBy("item").agg(F.countDistinct("hash").alias("item_windows"))
+    # one item stands for all with its words
+    distinct = workspace.keep(
+        items.groupBy("raw").agg(F.min("item_id").alias("item")), "distinct_items"
+    )
+    read = readings(distinct.select("item", "raw"), window)
+    windows = placed(read, window).withColumnRenamed("place", "item_place")
+    about = windows.groupBy("item").agg(
+        F.min(F.when(F.col("reading") == PLAIN, F.col("literals"))).alias("least"),
+    )
+    named = read.filter(F.col("reading") == NAMES).select(
+        "item", F.array_contains("words", NAME).alias("named")
+    )
+    # the hash by which sought() finds the window, null for those not looked up
+    plain = windows.filter(F.col("reading") == PLAIN).select(
+        "item", "item_place", F.col("literals").alias("plain_literals")
+    )
+    values = distinct.select("item", _hashed(F.lower(unmarked(F.col("raw")))).alias("v"))
+    tokens = read.filter(F.col("reading").isin(NAMES, PLAIN)).select(
+        "item", "reading", F.transform("words", lambda w: F.xxhash64(w)).alias("t")
+    )
+    at = F.col("item_place")
+    by_template = _hash_at(F.col("t"), at, window)
+    by_values = _raw_hash_at(F.col("v"), at, window)
+    enough = F.col("literals") >= least_literals
+    of_items = (
+        windows.join(about, "item")
+        .join(named, "item")
+        .join(values, "item")
+        .join(tokens, ["item", "reading"], "left")
+        .join(plain, ["item", "item_place"], "left")
+        .filter(
+            ((F.col("reading") == NAMES) & F.col("named"))
+            | (F.col("reading") == PLAIN)
+            | ((F.col("reading") == RAW) & (F.col("least") < least_literals))
+            | ((F.col("reading") == SHORT) & (F.size("v") == window - 1))
+        )
+        .select(
+            "item",
+            "reading",
+            "item_place",
+            "hash",
+            F.when(F.col("reading").isin(NAMES, PLAIN), F.col("literals"))
+            .otherwise(1)
+            .alias("weight"),
+            F.when(F.col("reading").isin(NAMES, PLAIN), F.when(enough, by_template))
+            .when(
+                F.col("reading") == RAW,
+                F.when(F.col("plain_literals") < least_literals, by_values),
+            )
+            .otherwise(_raw_hash_at(F.col("v"), at, window - 1))
+            .alias("sought"),
+        )
+        .filter("weight > 0")
+    )
+    of_items = workspace.keep(of_items, "item_windows")
+    totals = of_items.groupBy("item", "reading").agg(
+        F.sum("weight").alias("total"),
+        F.sum(F.when(F.col("sought").isNull(), F.col("weight")).otherwise(0)).alias("free"),
+    )
+    short = not of_items.filter(F.col("reading") == SHORT).isEmpty()
     texts = documents.select(
         F.col(id_column).alias("doc_id"), text_or_empty(text_column).alias("text")
     ).filter("doc_id is not null")
-    of_documents = windows(
-        texts.select("doc_id", template(raw_words(F.col("text"))).alias("words")), window
+    # texts that share an id are looked at each by itself
+    texts = texts.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    key = ["doc_id", "text_key", "item", "reading"]
+    first_hits = workspace.keep(
+        sought(texts, window, least_literals, short).join(
+            of_items.filter("sought is not null").select(
+                "item", "reading", "item_place", "weight", F.col("sought").alias("hash")
+            ),
+            "hash",
+        ),
+        "first_hits",
+    )
+    # what can still reach the coverage if all windows not looked up are found
+    possible = workspace.keep(
+        first_hits.groupBy(*key, "item_place")
+        .agg(F.first("weight").alias("weight"))
+        .groupBy(*key)
+        .agg(F.sum("weight").alias("got"))
+        .join(totals, ["item", "reading"])
+        .filter(F.col("got") + F.col("free") >= least_coverage * F.col("total") - 1e-9)
+        .select(*key, "total"),
+        "possible",
+    )
+    own = workspace.keep(
+        readings(
+            texts.join(possible.select("doc_id", "text_key").distinct(), ["doc_id", "text_key"])
+            .dropDuplicates(["doc_id", "text_key"])
+            .select("doc_id", "text_key", raw_words(F.col("text")).alias("raw")),
+            window,
+        ).join(
+            possible.select("doc_id", "text_key", "reading").distinct(),
+            ["doc_id", "text_key", "reading"],
+            "left_semi",
+        ),
+        "own_words",
+    )
+    hits = workspace.keep(
+        possible.join(of_items.drop("sought"), ["item", "reading"])
+        .join(placed(own, window).drop("literals"), ["doc_id", "text_key", "reading", "hash"])
+        .select(*key, "total", "item_place", "place", "weight"),
+        "window_hits",
     )
-    hits = workspace.keep(of_documents.join(of_items, "hash"), "window_hits")
     found = (
-        hits.groupBy("doc_id", "item", (F.col("place") - F.col("item_place")).alias("shift"))
-        .agg(F.collect_set("hash").alias("hashes"), F.count("*").alias("n"))
-        .groupBy("doc_id", "item")
-        .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("hashes")))).alias("matched"),
-            F.max_by("shift", F.struct("n", -F.col("shift"))).alias("shift"),
-        )
-        .join(counted, "item")
-        .withColumn("coverage", F.col("matched") / F.col("item_windows"))
+        hits.groupBy(*key, "total", "item_place")
+        .agg(F.first("weight").alias("weight"))
+        .groupBy(*key, "total")
+        .agg(F.sum("weight").alias("got"))
+        .withColumn("coverage", F.col("got") / F.col("total"))
         .filter(F.col("coverage") >= least_coverage)
+        .select(*key, "coverage")
     )
-    found = workspace.keep(found.select("doc_id", "item", "shift", "coverage"), "covered")
+    found = workspace.keep(found, "covered")
 
     # slots: what stands in the document where the item has a placeholder
     slots = (
-        distinct.select(
+        read.filter(F.col("reading").isin(NAMES, PLAIN))
+        .select("item", "reading", F.posexplode(F.arrays_zip("words", "values")).alias("at", "pair"))
+        .select(
             "item",
-            F.posexplode(
-                F.arrays_zip(F.split("words", " ").alias("w"), F.split("raw", " ").alias("r"))
-            ).alias("at", "pair"),
+            "reading",
+            "at",
+            F.col("pair.words").alias("word"),
+            F.col("pair.values").alias("value"),
         )
-        .select("item", "at", F.col("pair.w").alias("word"), F.col("pair.r").alias("value"))
-        .filter(placeholder)
+        .filter(is_placeholder(F.col("word")))
     )
-    own = texts.join(found.select("doc_id").distinct(), "doc_id").select(
-        "doc_id", raw_words(F.col("text")).alias("raw")
+    # windows found side by side, an edit between them or not, belong to one copy of the item
+    nearby = Window.partitionBy(*key).orderBy("shift").rangeBetween(-window, window)
+    shifts = (
+        hits.join(found.select(*key), key, "left_semi")
+        .groupBy(*key, (F.col("place") - F.col("item_place")).alias("shift"))
+        .agg(F.count("*").alias("n"), F.collect_set("item_place").alias("covered"))
+        .withColumn("copy", F.sum("n").over(nearby))
     )
-    own = own.select(
-        "doc_id",
-        F.split("raw", " ").alias("raw"),
-        F.split(template(F.col("raw")), " ").alias("words"),
+    covers = F.exists(
+        "covered", lambda p: (p <= F.col("at")) & (F.col("at") < p + window)
     )
-    place = F.col("at") + F.col("shift") + 1
     seen = (
-        found.join(slots, "item")
-        .join(own, "doc_id")
-        .filter((place >= 1) & (place <= F.size("raw")))
+        shifts.join(slots, ["item", "reading"])
+        .filter(covers)
+        .groupBy(*key, "at", "word", "value")
+        .agg(F.max_by("shift", F.struct("copy", "n", -F.col("shift"))).alias("shift"))
+        .join(own, ["doc_id", "text_key", "reading"])
+        .withColumn("place", F.col("at") + F.col("shift") + 1)
         .select(
-            "doc_id",
-            "item",
+            *key,
             "word",
             "value",
-            F.element_at("raw", place).alias("own_value"),
-            (F.element_at("words", place) == F.col("word")).alias("same_kind"),
+            F.element_at("values", F.col("place").cast("int")).alias("own_value"),
+            (F.element_at("words", F.col("place").cast("int")) == F.col("word")).alias(
+                "same_kind"
+            ),
         )
     )
     by_value = (
-        seen.groupBy("doc_id", "item", "word", "value", "own_value")
+        seen.groupBy(*key, "word", "value", "own_value")
         .agg(F.count("*").alias("n"), F.max("same_kind").alias("same_kind"))
-        .groupBy("doc_id", "item", "word", "value")
+        .groupBy(*key, "word", "value")
         .agg(
             F.sum("n").alias("n"),
             F.max(F.when(F.col("same_kind"), F.col("n")).otherwise(0)).alias("agreed"),
             F.min(F.col("own_value") == F.col("value")).alias("unchanged"),
         )
-        .groupBy("doc_id", "item")
+        .groupBy(*key)
         .agg(
             F.sum("n").alias("n_slots"),
             F.sum("agreed").alias("agreed"),
             F.sum(F.when(F.col("unchanged"), 0).otherwise(F.col("n"))).alias("changed_slots"),
         )
     )
-    judged = found.join(by_value, ["doc_id", "item"], "left").select(
-        "doc_id",
-        "item",
-        "coverage",
-        F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
-        F.coalesce("changed_slots", F.lit(0)).cast("long").alias("changed_slots"),
-        F.coalesce(F.col("agreed") / F.col("n_slots"), F.lit(1.0)).alias("consistency"),
+    order = F.struct(
+        "coverage", F.coalesce("n_slots", F.lit(0)), F.col("reading"), F.col("text_key")
+    )
+    judged = (
+        found.join(by_value, key, "left")
+        .withColumn("consistency", F.coalesce(F.col("agreed") / F.col("n_slots"), F.lit(1.0)))
+        .filter(F.col("consistency") >= least_consistency)
+        .groupBy("doc_id", "item")
+        .agg(
+            F.max_by(
+                F.struct(
+                    "coverage",
+                    F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
+                    F.coalesce("changed_slots", F.lit(0)).cast("long").alias("changed_slots"),
+                    "consistency",
+                ),
+                order,
+            ).alias("best")
+        )
+        .select("doc_id", "item", "best.*")
     )
-    alike = items.join(distinct.select("words", "item"), "words").select("item_id", "item")
+    alike = items.join(distinct, "raw").select("item_id", "item")
     return (
-        judged.filter(F.col("consistency") >= least_consistency)
-        .join(alike, "item")
+        judged.join(alike, "item")
         .select(
             "doc_id", "item_id", "coverage", "n_slots", "changed_slots", "consistency"
         )

@@ -310,6 +310,18 @@ def test_decontamination_odd_rows(odd, questions, workspace):
     assert decontaminate.contaminated(odd, questions, workspace=workspace).count() == 0
 
 
+def test_decontamination_slots_beside_an_edit(spark, questions, workspace):
+    texts = {
+        1: "Yesterday Anna bought 12 apples for 30 dollars, then later Anna gave 5 kg to Bob.",
+        2: "Yesterday Maria bought 7 apples for 99 euros, then later Maria gave 2 lb to John.",
+        3: "Yesterday Maria bought 7 apples for 99 euros, then later Peter gave 2 lb to John.",
+    }
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = decontaminate.contaminated(frame, questions, workspace=workspace).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 1)}
+    assert all(r.consistency == 1 and r.n_slots == 8 for r in found)
+
+
 # exact deduplication -------------------------------------------------------------------
 
 
