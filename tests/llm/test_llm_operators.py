@@ -322,6 +322,19 @@ def test_decontamination_slots_beside_an_edit(spark, questions, workspace):
     assert all(r.consistency == 1 and r.n_slots == 8 for r in found)
 
 
+def test_decontamination_canonical_templates(spark, questions, workspace):
+    item = questions.first().text
+    texts = {
+        1: item.replace("12", "1,250"), 2: item.replace("12", "2.5"),
+        3: item.replace(" ", "\n"), 4: item.replace(" ", "  "), 5: item.lower(), 6: item.upper(),
+        7: item.replace("Anna", "Mary Jane"), 8: item.replace("Anna", "Mary Jane") + " The End",
+    }
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = decontaminate.contaminated(frame, questions, workspace=workspace).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, 1) for i in texts}
+    assert all(r.coverage == 1 and r.consistency == 1 for r in found)
+
+
 # exact deduplication -------------------------------------------------------------------
 
 
