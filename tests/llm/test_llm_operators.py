@@ -335,6 +335,24 @@ def test_decontamination_canonical_templates(spark, questions, workspace):
     assert all(r.coverage == 1 and r.consistency == 1 for r in found)
 
 
+def test_decontamination_of_numeric_and_short_items(spark, workspace):
+    items = {
+        1: "Compute 12 * 7 + 30 / 5 - 2", 2: "What is 345 + 678 + 91?", 3: "What is 3 + 4?",
+        4: "A train goes 12 km in 5 minutes, 30 km in 9 minutes and 7 km in 3 minutes. How far?",
+    }
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    texts = {10 + i: f"So it says: {t} And more." for i, t in items.items()}
+    texts |= {
+        21: "Compute 13 * 8 + 31 / 6 - 3", 22: "What is 345 + 678 + 92?", 23: "What is 3 + 5?",
+        24: "1 2 3 4 5 6 7 8 9 10 12 7 30 5 9 2",
+        25: "A train goes 99 km in 8 hours, 20 km in 4 hours and 6 km in 2 hours. How far?",
+        26: "A train goes 99 km in 8 hours and then it stops, so it is late by 20 minutes.",
+    }
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = decontaminate.contaminated(frame, benchmark, workspace=workspace).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(11, 1), (12, 2), (13, 3), (14, 4), (25, 4)}
+
+
 # exact deduplication -------------------------------------------------------------------
 
 
