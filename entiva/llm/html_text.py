@@ -50,6 +50,15 @@ _bad = re.compile(
 _good = re.compile(
     r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|text|story|blog)(?=$|[\s_-])"
 )
+#: Names that a good word beside them does not redeem.
+_strong = re.compile(
+    r"(?:^|[\s_-])(?:comments?|commentlist|disqus|respond|replies|reply|share|sharing)(?=$|[\s_-])"
+)
+#: Parts of a name that tell what the page has or has not, not what the element is.
+_modifier = re.compile(
+    r"(?:(?<=\s)|^)(?:has|no|with|without)[_-]\S+|"
+    r"(?:(?<=\s)|^)comments?[_-](?:open|closed|enabled|disabled|on|off)(?=\s|$)"
+)
 #: Elements that an open one of the same group ends.
 ENDED_BY = {
     "li": frozenset({"li"}),
@@ -73,7 +82,10 @@ _attribute = re.compile(
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "names", "out", "score", "chars", "linked", "commas")
+    __slots__ = (
+        "tag", "parent", "parts", "names", "out", "score", "chars", "linked", "commas", "prose",
+        "spared",
+    )
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag = tag
@@ -82,7 +94,8 @@ class Node:
         self.names = ""
         self.out = False
         self.score = 0.0
-        self.chars = self.linked = self.commas = 0
+        self.chars = self.linked = self.commas = self.prose = 0
+        self.spared = False
 
 
 def parse(source: str) -> tuple[Node, list[Node]]:
@@ -154,21 +167,77 @@ def describe(node: Node, attributes: str) -> None:
             node.out = True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             node.out = True
-    node.names = " ".join(names)
+    node.names = _modifier.sub("", " ".join(names))
 
 
 def is_out(node: Node) -> bool:
-    if node.out or node.tag in DROPPED:
+    if out_by_kind(node):
         return True
-    if node.tag in ("body", "html", "article", "main"):
+    if node.spared or not node.names or node.tag in ("body", "html", "main"):
         return False
-    if node.tag == "header":
+    if _strong.search(node.names):
         return True
-    return bool(node.names) and bool(_bad.search(node.names)) and not _good.search(node.names)
+    if node.tag == "article":
+        return False
+    return bool(_bad.search(node.names)) and not _good.search(node.names)
+
+
+def out_by_kind(node: Node) -> bool:
+    return node.out or node.tag in DROPPED or node.tag == "header"
+
+
+def spare(nodes: list[Node]) -> None:
+    """Mark elements whose name must not decide, as the page's main text is in them.
+
+    These hold the longest article or, on a page without articles, most of the paragraph text.
+    Cards of a quarter of the text at most are no such article. Text under comment, reply and
+    share names does not count, and such elements stay only for the longest article, if it is
+    most of the text, or if there is no other text.
+    """
+    if not any(one.names and _bad.search(one.names) for one in nodes):
+        return
+    for one in reversed(nodes):
+        if out_by_kind(one) or one.tag == "a":
+            one.prose = 0
+            continue
+        for part in one.parts:
+            if isinstance(part, str):
+                text = part.strip()
+                if len(text) >= 25 or one.tag in ("p", "pre", "blockquote"):
+                    one.prose += len(text)
+            elif not (part.names and _strong.search(part.names)):
+                one.prose += part.prose
+    total = nodes[0].prose
+    gone: set[int] = set()  # what stands in an element that is out whatever its name
+    lead: Node | None = None
+    for one in nodes:
+        if out_by_kind(one) or (one.parent is not None and id(one.parent) in gone):
+            gone.add(id(one))
+        elif one.tag in ("article", "main") and not (one.names and _strong.search(one.names)):
+            if lead is None or one.prose > lead.prose:
+                lead = one
+    holders: set[int] = set()
+    above = lead.parent if lead is not None else None
+    while above is not None:
+        holders.add(id(above))
+        above = above.parent
+    leads = lead is not None and lead.prose >= 0.25 * total
+    for one in nodes:
+        if one.names and _strong.search(one.names):
+            if one.tag == "article":
+                one.spared = one.prose > total
+            else:
+                one.spared = total == 0 or (
+                    id(one) in holders and lead is not None and lead.prose > 0.5 * total
+                )
+        else:
+            most = one.prose > 0.5 * total
+            one.spared = (leads or most) if id(one) in holders else most and lead is None
 
 
 def measure(node: Node, nodes: list[Node]) -> None:
     """Characters, characters in links and commas of every element, those left out aside."""
+    spare(nodes)
     for one in nodes:
         one.out = is_out(one) or (one.parent is not None and one.parent.out)
     for one in reversed(nodes):
@@ -191,7 +260,9 @@ def weight(node: Node) -> float:
     points = {"article": 30.0, "main": 25.0, "div": 5.0, "section": 5.0, "td": 3.0, "pre": 3.0}
     score = points.get(node.tag, -3.0 if node.tag in ("ul", "ol", "dl", "li", "th") else 0.0)
     if node.names:
-        score += 25.0 * bool(_good.search(node.names)) - 25.0 * bool(_bad.search(node.names))
+        score += 25.0 * bool(_good.search(node.names)) - 25.0 * (
+            not node.spared and bool(_bad.search(node.names))
+        )
     return score
 
 
