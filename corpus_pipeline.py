@@ -10,44 +10,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entiva.llm import bpe, decontaminate, exact_dedup, language, near_dedup
-from entiva.llm.common import fold, table
+from entiva.llm.common import fold, table, text_or_empty
 from entiva.llm.queries import bpe_path
 from entiva.session import Workspace
 
+#: Name of the key that tells rows apart where ids are repeated or missing.
+KEY = "pipeline_row_key"
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is certain; texts without a letter and narrow leads go."""
     model = language.fit(docs, training=fold("doc_id", 4) != 2)
-    rejected = language.predict(docs, model).filter("rejected").select("doc_id").distinct()
-    return _without(docs, rejected)
+    return _without(docs, language.predict(_keyed(docs), model, id_column=KEY).filter("rejected"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = exact_dedup.exact_groups(docs)
-    return _without(docs, groups.filter("not kept").select("doc_id").distinct())
+    groups = exact_dedup.exact_groups(_keyed(docs), id_column=KEY)
+    kept = _keyed(_without(docs, groups.filter("not kept")))
+    # rows with one id and one text share a key, so a verdict; one of them stays
+    repeated = kept.groupBy(KEY).count().filter("count > 1").select(KEY)
+    once = kept.join(repeated, KEY, "left_semi").dropDuplicates([KEY])
+    return kept.join(repeated, KEY, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_dedup.near_groups(docs)
-    return _without(docs, groups.filter("not kept").select("doc_id").distinct())
+    groups = near_dedup.near_groups(_keyed(docs), id_column=KEY)
+    return _without(docs, groups.filter("not kept"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.select("doc_id").distinct())
+    items = table(spark, sf_dir, "benchmark")
+    return _without(docs, decontaminate.contaminated(_keyed(docs), items, id_column=KEY))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, bpe_path())
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """All columns of the documents that are not in ``gone``; rows without an id stay."""
-    return docs.join(gone.filter(F.col("doc_id").isNotNull()), "doc_id", "left_anti").select(
-        *docs.columns
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a key of id and text, in the order of ids, null ones last."""
+    text = text_or_empty("text")
+    return docs.withColumn(
+        KEY,
+        F.struct(
+            F.col("doc_id").isNull().alias("no_id"),
+            F.col("doc_id"),
+            F.xxhash64(text).alias("text_hash"),
+            F.length(text).alias("text_chars"),
+        ),
     )
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """All columns of the documents whose key is no ``doc_id`` of ``gone``."""
+    keys = gone.select(F.col("doc_id").alias(KEY)).distinct()
+    return _keyed(docs).join(keys, KEY, "left_anti").select(*docs.columns)
+
+
 STAGES = [
     ("language_id", identify_language),
     ("exact_dedup", drop_exact_copies),
