@@ -13,9 +13,13 @@ from entiva.llm import (
     language,
     language_model,
     line_dedup,
+    merkle,
     near_dedup,
+    phrases,
     secrets,
+    statements,
     toxicity,
+    url_filter,
 )
 from entiva.llm.common import fold, table
 
@@ -84,6 +88,32 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+#: The rules of the URL query, host and start of path, and the words of unwanted domains.
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+UNWANTED_WORDS = ["adult", "ads", "bets", "casino", "pills", "spam"]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    rules = spark.createDataFrame(URL_RULES, "key string, verdict string")
+    return url_filter.judge(pages, rules, url_filter.domains_with(pages, "url", UNWANTED_WORDS))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return merkle.manifest(documents, tampered=merkle.every_fifth()).drop("path")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -95,6 +125,9 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
+    "op11_url_filter": op11_url_filter,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_collocations": op13_collocations,
 }
 
 SQL = {
@@ -112,4 +145,7 @@ with texts as (
 select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, text_sha256
 from grouped
 """,
+    "op11_url_filter": statements.url_filter(URL_RULES, UNWANTED_WORDS),
+    "op12_merkle_manifest": statements.merkle_manifest(fanout=16, levels=8),
+    "op13_collocations": statements.collocations(least=30, most=2000),
 }
