@@ -282,13 +282,26 @@ def test_collocations_equal_brute_force(spark, texts, modulus):
 
 def test_parse_is_prefix_free_and_whole(spark, texts):
     frame = spark.createDataFrame(texts, "text string, lang string")
-    found = phrases.stretches(frame, "text", "lang")
-    parse = phrases.chunks(found, 3)
-    own = F.size(F.split("chunk", " ")) - F.when(F.col("last"), 0).otherwise(phrases.SHARED)
-    assert parse.agg(F.sum(own)).first()[0] == found.agg(F.sum(F.size("words"))).first()[0]
-    assert parse.filter("last").count() == found.count()
-    chunks = {r.chunk for r in parse.filter("not last").collect()}
-    assert not any(a != b and b.startswith(a + " ") for a in chunks for b in chunks)
+    parse = phrases.chunks(frame, "text", "lang", 3).collect()
+    assert sum(r.own for r in parse) == sum(
+        len(re.findall("[^ \t.,;:!?\n\x0b\x0c\r]+", text or "")) for text, _ in texts
+    )
+    assert sum(r.last for r in parse) == sum(bool(text and text.strip(" .,;\t")) for text, _ in texts)
+    chunks = {r.chunk for r in parse if not r.last}
+    assert len(chunks) > 50
+    starts = [(a, b) for a in chunks for b in chunks if a != b and b.startswith(a)]
+    assert not [(a, b) for a, b in starts if b[len(a)] in " \n"]
+
+
+def test_more_marks_than_frequent_words_change_nothing(spark, texts, monkeypatch):
+    """Several shards, and a table with every bit set."""
+    frame = spark.createDataFrame(texts, "text string, lang string")
+    monkeypatch.setattr(phrases, "KEYS_PER_SHARD", 500)
+    found = phrases.collocations(frame, least=5)
+    assert sorted(map(tuple, found.collect())) == counted(texts, 5, 2000)
+    monkeypatch.setattr(phrases, "mark_table", lambda *_: (16, np.full(1 << 13, 255, np.uint8)))
+    found = phrases.collocations(frame, least=5)
+    assert sorted(map(tuple, found.collect())) == counted(texts, 5, 2000)
 
 
 def test_collocations_of_one_long_piece_and_none(spark):
@@ -300,6 +313,22 @@ def test_collocations_of_one_long_piece_and_none(spark):
     assert phrases.collocations(frame.limit(0)).collect() == []
 
 
+def test_blocks_and_slices_change_nothing(texts, monkeypatch):
+    own = [(text or "").encode() for text, _ in texts]
+    words = phrases.Words(own)
+    begin, sizes = np.arange(len(words) - 3), np.full(len(words) - 3, 3)
+    hashes, joined = words.hashes(phrases._FIRST), words.joined(begin, sizes)
+    monkeypatch.setattr(phrases, "SLICE_BYTES", 7)
+    assert (words.hashes(phrases._FIRST) == hashes).all()
+    assert words.joined(begin, sizes) == joined
+    monkeypatch.setattr(phrases, "BLOCK_BYTES", 300)
+    blocks = [phrases.Words(own[part]) for part in phrases._blocks(own)]
+    assert len(blocks) > 5
+    assert (np.concatenate([b.hashes(phrases._FIRST) for b in blocks]) == hashes).all()
+    starts = [b.data[b.starts] for b in blocks]
+    assert (np.concatenate(starts) == words.data[words.starts]).all()
+
+
 def test_scores_beyond_64_bits(spark):
     big = 2**62
     counts = spark.createDataFrame(
