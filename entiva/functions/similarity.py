@@ -26,6 +26,44 @@ def levenshtein_score(distance: Column, longer: Column) -> Column:
     return F.floor((longer - distance) * F.lit(100) / longer).cast("int")
 
 
+# Characters are counted in classes, up to a highest count each: one bit per class and count.
+CLASSES, HIGHEST = 32, 4
+
+
+def letter_marks(text: Column) -> Column:
+    """How often a text has the characters of each class, as two numbers of 64 bits.
+
+    A class that occurs ``n`` times has the lowest ``n`` of its bits set, ``HIGHEST`` at most.
+    """
+    chars = F.filter(F.split(text, ""), lambda char: char != "")
+    codes = F.transform(chars, lambda char: F.ascii(char) % CLASSES)
+    half = CLASSES // 2
+
+    def counted(marks: Column, code: Column, first: int) -> Column:
+        place = (code - first) * HIGHEST
+        held = F.call_function("shiftrightunsigned", marks, place).bitwiseAND(F.lit(7))
+        more = F.call_function("shiftleft", held * 2 + 1, place)
+        return F.when(code.between(first, first + half - 1), marks.bitwiseOR(more)).otherwise(marks)
+
+    none = F.struct(F.lit(0).cast("bigint").alias("low"), F.lit(0).cast("bigint").alias("high"))
+    return F.aggregate(
+        codes,
+        none,
+        lambda marks, code: F.struct(
+            counted(marks["low"], code, 0).alias("low"),
+            counted(marks["high"], code, half).alias("high"),
+        ),
+    )
+
+
+def unlike_letters(a: Column, b: Column) -> Column:
+    """At most the number of characters that one of two texts has and the other lacks; a
+    substitution adds two to it, an insertion or deletion one."""
+    return F.bit_count(a["low"].bitwiseXOR(b["low"])) + F.bit_count(
+        a["high"].bitwiseXOR(b["high"])
+    )
+
+
 # Fixed values of the weighted ratio: scale of token scores, scale of partial scores, and
 # the length ratios from which partial scores count and from which they count little.
 TOKEN_SCALE = 0.95

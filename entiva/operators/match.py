@@ -1,11 +1,7 @@
 """Matching names that are not equal: aliases first, then similarity.
 
-Similar pairs are found by an equi-join on character trigrams, never by comparing all
-names with all names. For an edit distance of at most ``d``, two texts that share fewer
-than all but ``3 * d`` of their trigrams cannot be similar enough. Ordering every text's
-trigrams from rarest to most common, a similar pair must therefore share one of the first
-``3 * d + 1`` of each (prefix filtering). The rarest-first order keeps trigrams that
-nearly every name holds out of the join. The filter loses no pair.
+Candidates for an edit distance come from signatures of segments (``operators/segments.py``),
+which lose no pair at any cutoff; only pairs that meet under one are compared.
 """
 
 from __future__ import annotations
@@ -18,16 +14,17 @@ from pyspark.sql import functions as F
 
 from entiva.functions.aliases import Aliases, resolve_aliases
 from entiva.functions.keys import only_keyed
-from entiva.functions.similarity import levenshtein_allowance, levenshtein_score
+from entiva.functions.similarity import (
+    levenshtein_allowance,
+    levenshtein_score,
+    unlike_letters,
+)
 from entiva.operators.assign import one_to_one
+from entiva.operators.segments import candidates
 from entiva.session import Workspace
 
-GRAM = 3
-START, END = "\u0002", "\u0003"
-# Trigram counts are kept per hash bucket, so the broadcast table has a fixed size.
+# Gram counts are kept per hash bucket, so the broadcast table has a fixed size.
 FREQUENCY_BUCKETS = 65_536
-# Below this score a short text may share no trigram at all with a similar one.
-LOWEST_CUTOFF = 75
 # Cutoffs tried from strict to loose: only names without a strict match meet the loose one.
 STRICT_STEPS = (90,)
 
@@ -64,15 +61,6 @@ def numbered(grams: Column) -> Column:
     )
 
 
-def _trigrams(text: Column) -> Column:
-    pad = GRAM - 1
-    padded = F.concat(F.lit(START * pad), text, F.lit(END * pad))
-    return F.transform(
-        F.sequence(F.lit(1), F.length(text) + F.lit(pad)),
-        lambda i: F.substring(padded, i, F.lit(GRAM)),
-    )
-
-
 def spread_names(names: DataFrame) -> DataFrame:
     """Names spread by name and text, so that regrouping their grams needs no shuffle.
 
@@ -97,62 +85,40 @@ def gram_frequencies(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
-def _prefixes(grams: DataFrame, frequencies: DataFrame, cutoff: int) -> DataFrame:
-    """One row per name and rarest trigram, with the whole prefix alongside."""
-    longest_partner = F.floor(F.length("text") * F.lit(100) / F.lit(cutoff))
-    size = levenshtein_allowance(longest_partner, cutoff) * F.lit(GRAM) + F.lit(1)
-    rarest_first = F.array_sort(F.collect_list(F.struct("n", "gram")))
-    prefix = F.slice("ordered", F.lit(1), size)
-    return (
-        grams.withColumn("bucket", bucket(F.col("gram")))
-        .join(F.broadcast(frequencies), "bucket")
-        .groupBy("name", "text")
-        .agg(rarest_first.alias("ordered"))
-        .select("name", "text", F.transform(prefix, lambda g: g["gram"]).alias("prefix"))
-        .select("*", F.posexplode("prefix").alias("place", "gram"))
-    )
-
-
 def levenshtein_pairs(
     left: DataFrame, right: DataFrame, cutoff: int, workspace: Workspace, label: str
 ) -> DataFrame:
     """Every pair of names whose texts score ``cutoff`` or more, once each.
 
-    ``left`` and ``right`` hold distinct ``name`` and the ``text`` to compare. A pair is
-    produced at the first trigram of one prefix that the other holds, so none is produced
-    twice, and the edit distance is part of the join condition, so only true matches leave
-    the join.
+    ``left`` and ``right`` hold distinct ``name`` and the ``text`` to compare. The edit distance
+    is a condition on the candidates, so only true matches are told apart by name.
     """
-    if not LOWEST_CUTOFF <= cutoff <= 100:
-        raise ValueError(f"cutoff {cutoff} is not between {LOWEST_CUTOFF} and 100")
-    left_grams, right_grams = (
-        spread_names(names).select(
-            "name", "text", F.explode(numbered(_trigrams(F.col("text")))).alias("gram")
-        )
-        for names in (left, right)
+    if not 0 <= cutoff <= 100:
+        raise ValueError(f"cutoff {cutoff} is not between 0 and 100")
+    pairs = comparable(candidates(left, right, cutoff, workspace, label), cutoff)
+    longer = _longer()
+    distance = F.call_function(
+        "levenshtein", F.col("left_text"), F.col("right_text"), levenshtein_allowance(longer, cutoff)
     )
-    frequencies = workspace.keep(
-        gram_frequencies(left_grams, right_grams), f"{label}-frequencies"
-    )
-    a = _prefixes(left_grams, frequencies, cutoff).alias("a")
-    b = _prefixes(right_grams, frequencies, cutoff).alias("b")
-    longer = F.greatest(F.length("a.text"), F.length("b.text"))
-    allowed = levenshtein_allowance(longer, cutoff)
-    distance = F.call_function("levenshtein", F.col("a.text"), F.col("b.text"), allowed)
-    shared_earlier = F.arrays_overlap(F.slice("a.prefix", F.lit(1), F.col("a.place")), "b.prefix")
-    similar = (
-        (F.col("a.gram") == F.col("b.gram"))
-        & (F.abs(F.length("a.text") - F.length("b.text")) <= allowed)
-        & ~shared_earlier
-        & (distance >= 0)
-    )
-    return a.join(b, similar).select(
-        F.col("a.name").alias("left"),
-        F.col("b.name").alias("right"),
-        levenshtein_score(F.levenshtein("a.text", "b.text"), longer).alias("score"),
+    return (
+        pairs.filter(distance >= 0)
+        .select("left", "right", levenshtein_score(distance, longer).alias("score"))
+        .dropDuplicates(["left", "right"])
     )
 
 
+def _longer() -> Column:
+    return F.greatest(F.length("left_text"), F.length("right_text"))
+
+
+def comparable(pairs: DataFrame, cutoff: int) -> DataFrame:
+    """Candidates whose letters do not rule them out: with ``d`` edits, of which the difference
+    in length takes its share, no more than ``2 d`` letters are unlike."""
+    gap = F.abs(F.length("left_text") - F.length("right_text"))
+    unlike = unlike_letters(F.col("left_marks"), F.col("right_marks"))
+    return pairs.filter(unlike <= 2 * levenshtein_allowance(_longer(), cutoff) - gap)
+
+
 def best_per_left(pairs: DataFrame) -> DataFrame:
     """The best candidate of every left name: highest score, then first in name order."""
     rank = F.struct((-F.col("score")).alias("down"), "right", "score")

@@ -4,9 +4,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from entiva.functions.similarity import weighted_ratio
+from entiva.functions.similarity import letter_marks, weighted_ratio
+from entiva.operators import segments
 from entiva.operators.assign import one_to_one
-from entiva.operators.match import best_per_left, levenshtein_pairs, match_names
+from entiva.operators.match import best_per_left, comparable, levenshtein_pairs, match_names
 from entiva.operators.weighted import SHARED_WORD, weighted_best, weighted_matcher
 
 
@@ -48,16 +49,80 @@ def random_texts(seed, count, alphabet, longest):
     return texts
 
 
-@pytest.mark.parametrize("cutoff,seed", [(75, 1), (80, 2), (90, 3), (100, 4)])
-def test_edit_distance_pairs_equal_brute_force(spark, workspace, cutoff, seed):
-    left, right = random_texts(seed, 90, "AB ", 14), random_texts(seed + 50, 90, "AB ", 14)
-    got = levenshtein_pairs(names(spark, left), names(spark, right), cutoff, workspace, "p")
-    expected = sorted(
+def brute_pairs(left, right, cutoff):
+    return sorted(
         (a, b, score(a, b)) for a in set(left) for b in set(right) if score(a, b) >= cutoff
     )
-    assert sorted(map(tuple, got.collect())) == expected
-    with pytest.raises(ValueError):
-        levenshtein_pairs(names(spark, left), names(spark, right), 60, workspace, "q")
+
+
+@pytest.mark.parametrize("growth", [(1000, 256), (0, 0)], ids=["one round", "all rounds"])
+@pytest.mark.parametrize(
+    "cutoff,seed", [(0, 7), (30, 6), (50, 5), (70, 4), (80, 2), (90, 3), (100, 1)]
+)
+def test_edit_distance_pairs_equal_brute_force(spark, workspace, monkeypatch, cutoff, seed, growth):
+    monkeypatch.setattr(segments, "PAIRS_PER_NAME", growth[0])
+    monkeypatch.setattr(segments, "PAIRS_PER_KEY", growth[1])
+    left, right = random_texts(seed, 90, "AB ", 14), random_texts(seed + 50, 90, "AB ", 14)
+    got = levenshtein_pairs(names(spark, left), names(spark, right), cutoff, workspace, "p")
+    assert sorted(map(tuple, got.collect())) == brute_pairs(left, right, cutoff)
+
+
+@pytest.mark.parametrize("cutoff", [50, 80])
+def test_pairs_of_long_texts_equal_brute_force(spark, workspace, monkeypatch, cutoff):
+    """Some with more edits than cuts are listed for, some around that bound."""
+    monkeypatch.setattr(segments, "MOST_EDITS", 5)
+    left, right = random_texts(21, 60, "ABC ", 40), random_texts(71, 60, "ABC ", 40)
+    left, right = left + right[:9], right + [t + "X" * (len(t) // 8) for t in left[:9]]
+    got = levenshtein_pairs(names(spark, left), names(spark, right), cutoff, workspace, "p")
+    assert sorted(map(tuple, got.collect())) == brute_pairs(left, right, cutoff)
+
+
+def test_cutoffs_out_of_range_are_refused(spark, workspace):
+    for cutoff in (-1, 101):
+        with pytest.raises(ValueError):
+            levenshtein_pairs(names(spark, ["A"]), names(spark, ["A"]), cutoff, workspace, "q")
+
+
+def institutions(count, seed):
+    """Names with one of four first words, of which some letters of each copy are changed."""
+    rng = random.Random(seed)
+    kinds = ["BANCO", "CREDITO", "COOPERATIVA", "INSTITUICAO"]
+    texts = [f"{kinds[i % 4]} {rng.getrandbits(56):014X}" for i in range(count)]
+    edited = []
+    for text in texts:
+        chars = list(text)
+        for _ in range(2):
+            chars[rng.randrange(len(chars))] = rng.choice("0123456789ABCDEF")
+        edited.append("".join(chars))
+    return texts, edited
+
+
+@pytest.mark.parametrize("cutoff", [80, 90])
+def test_ten_times_the_names_are_compared_in_at_most_fifteen_times_the_pairs(
+    spark, workspace, cutoff
+):
+    """Signatures grow in both sizes; the names share four first words, a quarter each."""
+    compared = []
+    for count in (400, 4000):
+        left, right = institutions(count, 3)
+        found = segments.candidates(
+            names(spark, left), names(spark, right), cutoff, workspace, f"n{count}", 20, 16
+        )
+        compared.append(comparable(found, cutoff).count())
+        assert found.filter("left_text = right_text").count() <= 3 * count
+    assert compared[0] >= 400 and compared[1] <= 15 * compared[0]
+
+
+def test_letter_marks_bound_the_edit_distance(spark):
+    texts = random_texts(5, 60, "AB\u00e9\u0410 Z9", 30) + ["", "A" * 200]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    marks = {r.t: r.m for r in frame.select("t", letter_marks(F.col("t")).alias("m")).collect()}
+    for a in texts:
+        for b in texts:
+            unlike = sum(
+                bin((x ^ y) & (2**64 - 1)).count("1") for x, y in zip(marks[a], marks[b])
+            )
+            assert unlike <= 2 * edit_distance(a, b) - abs(len(a) - len(b))
 
 
 @pytest.mark.parametrize(
