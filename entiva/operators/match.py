@@ -75,14 +75,9 @@ def bucket(gram: Column) -> Column:
     return F.pmod(gram, F.lit(FREQUENCY_BUCKETS))
 
 
-def gram_frequencies(a: DataFrame, b: DataFrame) -> DataFrame:
+def gram_frequencies(grams: DataFrame) -> DataFrame:
     """How often the grams of each hash bucket occur; at most ``FREQUENCY_BUCKETS`` rows."""
-    return (
-        a.select("gram")
-        .unionAll(b.select("gram"))
-        .groupBy(bucket(F.col("gram")).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return grams.groupBy(bucket(F.col("gram")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def levenshtein_pairs(

@@ -14,6 +14,11 @@ an equi-join on those. Two cases share no bigram and are handled apart: a single
 inside a longer word, and a common word in texts of unequal length. The latter gives
 ``SHARED_WORD`` to every such pair, far too many to list when a word is frequent; they are
 found through an index of one name per word and length.
+
+A pair that meets under a bigram is scored if its letters allow the score: a common
+subsequence is no longer than what two texts have in common letter by letter, which two
+numbers per name and a count of bits bound (``letter_marks``). Where only common words could
+give the score, their lengths are added up first.
 """
 
 from __future__ import annotations
@@ -27,6 +32,8 @@ from entiva.functions.similarity import (
     TOKEN_SCALE,
     UNEQUAL_FROM,
     VERY_UNEQUAL_ABOVE,
+    letter_marks,
+    unlike_letters,
     weighted_ratio_udf,
 )
 from entiva.operators.assign import one_to_one
@@ -76,74 +83,161 @@ def _most_unshared(length: Column, cutoff: float) -> Column:
     return F.greatest(full, windowed).cast("int")
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with an array column that is computed once a row. What a lambda refers to is
+    otherwise computed again for each element; the optimizer does not look through a generator."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _grams(names: DataFrame) -> DataFrame:
     """One row per name and bigram; ``first_word_use`` marks those of distinct words."""
-    keys = numbered(_bigrams(_words(F.col("text"))))
-    distinct_keys = numbered(_bigrams(F.array_distinct(_words(F.col("text")))))
+    words = _words(F.col("text"))
+    rows = _once(names, "words", words)
+    rows = _once(rows, "raw", _bigrams(F.col("words")))
+    rows = _once(rows, "raw_once", _bigrams(F.array_distinct("words")))
+    rows = _once(rows, "keys", numbered(F.col("raw")))
+    rows = _once(rows, "keys_once", numbered(F.col("raw_once")))
     marked = F.transform(
-        keys,
+        "keys",
         lambda key: F.struct(
-            key.alias("gram"), F.array_contains(distinct_keys, key).alias("first_word_use")
+            key.alias("gram"), F.array_contains("keys_once", key).alias("first_word_use")
         ),
     )
-    return spread_names(names).select("name", "text", F.inline(marked))
+    return rows.select("is_left", "name", "text", F.inline(marked))
 
 
-def _indexed(grams: DataFrame, frequencies: DataFrame, cutoff: float) -> DataFrame:
-    """One row per name: all its bigrams, the rare ones to probe with, and how many of
-    its bigrams a longer text must share."""
-    length, distinct = F.length("text"), F.col("distinct_length")
-    rare = F.slice("ordered", F.lit(1), _most_unshared(length, cutoff) + 1)
-    rare_distinct = F.slice(
-        F.filter("ordered", lambda g: g["first_word_use"]),
-        F.lit(1),
-        _most_unshared(distinct, cutoff) + 1,
+def index_names(left: DataFrame, right: DataFrame, workspace: Workspace, label: str) -> DataFrame:
+    """One row per side and name: lengths, letters, and all its bigrams, rarest first.
+
+    Whatever the cutoff and whichever names are still open, the same index serves.
+    """
+    sides = [
+        names.select(F.lit(is_left).alias("is_left"), "name", "text")
+        for is_left, names in ((True, left), (False, right))
+    ]
+    grams = workspace.keep(
+        _grams(spread_names(sides[0].unionByName(sides[1]))), f"{label}-grams"
     )
+    frequencies = workspace.keep(gram_frequencies(grams), f"{label}-frequencies")
     ordered = F.array_sort(F.collect_list(F.struct("n", "gram", "first_word_use")))
-    return (
+    return workspace.keep(
         grams.withColumn("bucket", bucket(F.col("gram")))
         .join(F.broadcast(frequencies), "bucket")
-        .groupBy("name", "text")
+        .groupBy("is_left", "name", "text")
         .agg(ordered.alias("ordered"))
-        .withColumn("distinct_length", _distinct_length(F.col("text")))
         .select(
-            "name",
-            "text",
-            "distinct_length",
+            "*",
+            F.length("text").alias("length"),
+            _distinct_length(F.col("text")).alias("distinct_length"),
+            _letters(_words(F.col("text"))).alias("all"),
+            _letters(F.array_distinct(_words(F.col("text")))).alias("once"),
             F.transform("ordered", lambda g: g["gram"]).alias("grams"),
-            F.array_union(
+        ),
+        f"{label}-index",
+    )
+
+
+def _probes(index: DataFrame, cutoff: float) -> DataFrame:
+    """The index with the rare bigrams to probe with, and how many of its bigrams a longer text
+    must share."""
+    length, distinct = F.col("length"), F.col("distinct_length")
+    rare = F.slice("ordered", F.lit(1), _most_unshared(length, cutoff) + 1)
+    rare_distinct = F.slice(
+        F.filter("ordered", lambda g: g["first_word_use"]),
+        F.lit(1),
+        _most_unshared(distinct, cutoff) + 1,
+    )
+    return index.withColumns(
+        {
+            "rare": F.array_union(
                 F.transform(rare, lambda g: g["gram"]),
                 F.transform(rare_distinct, lambda g: g["gram"]),
-            ).alias("rare"),
-            F.greatest(
+            ),
+            "needed": F.greatest(
                 F.lit(1),
                 F.least(
                     length + 1 - _most_unshared(length, cutoff),
                     distinct + 1 - _most_unshared(distinct, cutoff),
                 ),
-            ).alias("needed"),
-        )
+            ),
+        }
+    ).drop("ordered", "is_left")
+
+
+def _letters(words: Column) -> Column:
+    """Number of words and of letters in them, and the letters' marks."""
+    letters = F.array_join(words, "")
+    return F.struct(
+        F.size(words).alias("words"),
+        F.length(letters).alias("letters"),
+        letter_marks(letters).alias("marks"),
+    )
+
+
+def _unlike(kind: str) -> Column:
+    return unlike_letters(F.col(f"s.{kind}.marks"), F.col(f"t.{kind}.marks"))
+
+
+def _most_common(kind: str) -> Column:
+    """No common subsequence of the two texts is longer."""
+    letters = (F.col(f"s.{kind}.letters") + F.col(f"t.{kind}.letters") - _unlike(kind)) / 2
+    return letters + F.least(F.col(f"s.{kind}.words"), F.col(f"t.{kind}.words")) - 1
+
+
+def _may_score(cutoff: float) -> Column:
+    """Whether letters and common words of ``s`` and ``t`` allow the score."""
+
+    def alike(size: str, kind: str, scale: float) -> Column:
+        """A ratio over whole texts, which unlike letters lower one by one."""
+        share = 1 - cutoff / scale / 100
+        return _unlike(kind) <= share * (F.col(f"s.{size}") + F.col(f"t.{size}")) + 1e-9
+
+    def covered(size: str, scale: float) -> Column:
+        """How much of the shorter text must be common for a ratio to it."""
+        needed = cutoff / scale
+        shorter = F.least(f"s.{size}", f"t.{size}")
+        return F.lit(needed / max(200 - needed, 1e-9)) * shorter - 1e-9
+
+    words = F.array_intersect(_words(F.col("s.text")), _words(F.col("t.text")))
+    common = F.length(F.array_join(words, " "))
+    by_words = covered("distinct_length", TOKEN_SCALE)
+    near = (
+        alike("distinct_length", "once", TOKEN_SCALE)
+        | ((_most_common("once") >= by_words) & (common >= by_words))
     )
+    far = F.lit(False)
+    if cutoff <= 100 * PARTIAL_SCALE:
+        far = (_most_common("all") >= covered("length", PARTIAL_SCALE)) | (
+            _most_common("once") >= covered("distinct_length", TOKEN_SCALE * PARTIAL_SCALE)
+        )
+    is_near = _length_ratio(F.col("s.length"), F.col("t.length")) < UNEQUAL_FROM
+    return alike("length", "all", 1.0) | F.when(is_near, near).otherwise(far)
 
 
 def _length_ratio(a: Column, b: Column) -> Column:
     return F.greatest(a, b).cast("double") / F.least(a, b)
 
 
-def _probe(short: DataFrame, long: DataFrame) -> DataFrame:
+def _probe(short: DataFrame, long: DataFrame, cutoff: float) -> DataFrame:
     """Candidate pairs in which ``short`` is the shorter text, once each: a pair is produced
     at the first of the rare bigrams that the other text holds."""
     s = short.select("*", F.posexplode("rare").alias("place", "gram")).alias("s")
-    t = long.withColumn("gram", F.explode("grams")).drop("rare", "needed").alias("t")
-    not_longer = (F.length("s.text") <= F.length("t.text")) | (
+    t = long.withColumn("gram", F.explode("grams")).drop("ordered", "is_left").alias("t")
+    not_longer = (F.col("s.length") <= F.col("t.length")) | (
         F.col("s.distinct_length") <= F.col("t.distinct_length")
     )
     shared_earlier = F.arrays_overlap(F.slice("s.rare", F.lit(1), F.col("s.place")), "t.grams")
     enough = F.size(F.array_intersect("s.grams", "t.grams")) >= F.col("s.needed")
-    comparable = _length_ratio(F.length("s.text"), F.length("t.text")) <= VERY_UNEQUAL_ABOVE
+    comparable = _length_ratio(F.col("s.length"), F.col("t.length")) <= VERY_UNEQUAL_ABOVE
+    # from cheap to dear
     return s.join(
         t,
-        (F.col("s.gram") == F.col("t.gram")) & not_longer & comparable & ~shared_earlier & enough,
+        (F.col("s.gram") == F.col("t.gram"))
+        & not_longer
+        & comparable
+        & _may_score(cutoff)
+        & ~shared_earlier
+        & enough,
     ).select(
         F.col("s.name").alias("s"), F.col("s.text").alias("s_text"),
         F.col("t.name").alias("t"), F.col("t.text").alias("t_text"),
@@ -164,30 +258,34 @@ def _single_letters(short: DataFrame, long: DataFrame) -> DataFrame:
     return s.join(t, "letter").filter(comparable).select("s", "s_text", "t", "t_text")
 
 
-def weighted_pairs(
-    left: DataFrame, right: DataFrame, cutoff: float, workspace: Workspace, label: str
+def weighted_candidates(
+    left: DataFrame, right: DataFrame, cutoff: float, index: DataFrame
 ) -> DataFrame:
-    """The pairs that score ``cutoff`` or more, but for those that only share a word.
-
-    Those score ``SHARED_WORD``; see ``shared_word_best``. The score is computed in Arrow
-    batches, for candidate pairs only.
-    """
+    """The pairs to score: ``left, left_text, right, right_text``. ``index`` is that of the
+    names (``index_names``) and may hold more names than are wanted here."""
     if not LOWEST_CUTOFF <= cutoff <= 100:
         raise ValueError(f"cutoff {cutoff} is not between {LOWEST_CUTOFF} and 100")
-    left_grams, right_grams = _grams(left), _grams(right)
-    frequencies = workspace.keep(
-        gram_frequencies(left_grams, right_grams), f"{label}-frequencies"
-    )
-    a = workspace.keep(_indexed(left_grams, frequencies, cutoff), f"{label}-left-grams")
-    b = workspace.keep(_indexed(right_grams, frequencies, cutoff), f"{label}-right-grams")
+    a = index.filter("is_left").join(left.select("name", "text"), ["name", "text"], "left_semi")
+    b = index.filter("not is_left").join(right.select("name", "text"), ["name", "text"], "left_semi")
     forward = ["s AS left", "s_text AS left_text", "t AS right", "t_text AS right_text"]
     backward = ["t AS left", "t_text AS left_text", "s AS right", "s_text AS right_text"]
-    candidates = (
-        _probe(spread_names(a), b).selectExpr(*forward)
-        .unionAll(_probe(spread_names(b), a).selectExpr(*backward))
+    return (
+        _probe(_probes(spread_names(a), cutoff), b, cutoff).selectExpr(*forward)
+        .unionAll(_probe(_probes(spread_names(b), cutoff), a, cutoff).selectExpr(*backward))
         .unionAll(_single_letters(left, right).selectExpr(*forward))
         .unionAll(_single_letters(right, left).selectExpr(*backward))
     )
+
+
+def weighted_pairs(
+    left: DataFrame, right: DataFrame, cutoff: float, index: DataFrame
+) -> DataFrame:
+    """The pairs that score ``cutoff`` or more, but for those that only share a word.
+
+    Those score ``SHARED_WORD``; see ``shared_word_best``. The score is computed in Arrow
+    batches, for candidate pairs only.
+    """
+    candidates = weighted_candidates(left, right, cutoff, index)
     scored = candidates.select(
         "left", "right", weighted_ratio_udf("left_text", "right_text").alias("score")
     )
@@ -227,14 +325,15 @@ def weighted_best(
     left: DataFrame, right: DataFrame, cutoff: float, workspace: Workspace, label: str
 ) -> DataFrame:
     """The best candidate of every left name: highest score, then first in name order."""
-    strict = weighted_pairs(left, right, max(cutoff, SHARED_WORD), workspace, f"{label}-strict")
+    index = index_names(left, right, workspace, label)
+    strict = weighted_pairs(left, right, max(cutoff, SHARED_WORD), index)
     if cutoff > SHARED_WORD:
         return best_per_left(strict)
     best = workspace.keep(
         best_per_left(strict.unionByName(shared_word_best(left, right))), f"{label}-best"
     )
     rest = workspace.keep(without(left, best, "left"), f"{label}-rest")
-    loose = weighted_pairs(rest, right, cutoff, workspace, f"{label}-loose")
+    loose = weighted_pairs(rest, right, cutoff, index)
     return best.unionByName(best_per_left(loose))
 
 
@@ -296,11 +395,11 @@ def weighted_matcher(
     Steps: pairs above or at ``SHARED_WORD`` that letters find, pairs that share a word,
     pairs below. Among equal scores letters therefore go before a shared word.
     """
+    index = index_names(left, right, workspace, label)
+
     def by_letters(lowest: float, step: str):
         return lambda a, b: one_to_one(
-            weighted_pairs(a, b, lowest, workspace, f"{label}-{step}"),
-            workspace,
-            f"{label}-{step}",
+            weighted_pairs(a, b, lowest, index), workspace, f"{label}-{step}"
         )
 
     steps = [by_letters(max(cutoff, SHARED_WORD), "strict")]

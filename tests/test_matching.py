@@ -4,11 +4,17 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from entiva.functions.similarity import letter_marks, weighted_ratio
+from entiva.functions.similarity import common_subsequences, letter_marks, weighted_ratio
 from entiva.operators import segments
 from entiva.operators.assign import one_to_one
 from entiva.operators.match import best_per_left, comparable, levenshtein_pairs, match_names
-from entiva.operators.weighted import SHARED_WORD, weighted_best, weighted_matcher
+from entiva.operators.weighted import (
+    SHARED_WORD,
+    index_names,
+    weighted_best,
+    weighted_candidates,
+    weighted_matcher,
+)
 
 
 def names(spark, texts):
@@ -166,6 +172,37 @@ def test_weighted_best_equals_brute_force(spark, workspace, alphabet, longest, c
     assert len(got) == len({r["left"] for r in got})
 
 
+def test_few_pairs_of_names_from_few_words_are_scored(spark, workspace):
+    words = [["SMALL", "LARGE", "RED", "BLUE", "OLD", "NEW", "HOT", "COLD"],
+             ["ROD", "RING", "BOLT", "GEAR", "PLATE", "ANVIL", "GIZMO", "WIDGET"]]
+    texts = [f"BRAND{i} {a} {b}" for i in range(1, 11) for a in words[0] for b in words[1]]
+    frame = names(spark, texts)
+    index = index_names(frame, frame, workspace, "few")
+    for cutoff in (80, SHARED_WORD):
+        found = weighted_candidates(frame, frame, cutoff, index).distinct()
+        assert len(texts) <= found.count() <= len(texts) ** 2 / 10
+
+
+@pytest.mark.parametrize(
+    "alphabet,longest", [("AB ", 9), ("ABCDEFGHIJ \u00e9\u0410", 150), ("AB", 70)]
+)
+def test_common_subsequences_equal_the_table(alphabet, longest):
+    texts = random_texts(8, 90, alphabet, longest) + ["", "A" * 64, "A" * 65, "AB" * 64]
+    rng = random.Random(2)
+    pairs = [(rng.choice(texts), rng.choice(texts)) for _ in range(300)]
+
+    def table(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+        return row[-1]
+
+    found = common_subsequences([a for a, _ in pairs], [b for _, b in pairs])
+    assert found.tolist() == [table(a, b) for a, b in pairs]
+
+
 def sequential_greedy(pairs):
     def rank(pair):
         a, b, s = pair
