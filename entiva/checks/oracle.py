@@ -275,6 +275,61 @@ def _score(a: str, b: str) -> str:
     return f"cast(({longer} - levenshtein({a}, {b})) * 100 // {longer} as integer)"
 
 
+def _masks(text: str) -> str:
+    """Per character of a text the bits of its places: bit 0 for the first."""
+    chars = f"string_split({text}, '')"
+    bits = f"""list_reduce(list_transform(range(len({text})), lambda i:
+      case when {text}[i + 1] = c then 1::hugeint << i::hugeint else 0::hugeint end),
+      lambda x, y: x | y, 0::hugeint)"""
+    return f"map_from_entries(list_transform(list_distinct({chars}), lambda c: (c, {bits})))"
+
+
+def _common(masks: str, size: str, other: str) -> str:
+    """Longest common subsequence of a text of under 120 characters, given by its masks and
+    length, and another: a bit that is cleared for each character of it."""
+    every = f"((1::hugeint << ({size})::hugeint) - 1)"
+    hits = f"coalesce({masks}[c], 0::hugeint)"
+    steps = f"""list_reduce(
+      list_transform(string_split({other}, ''), lambda c: {hits}),
+      lambda row, hit: ((row + (row & hit)) | (row & xor(hit, {every}))) & {every}, {every})"""
+    return f"case when {size} = 0 or len({other}) = 0 then 0 else {size} - bit_count({steps}) end"
+
+
+def _weighted_pairs(cutoff: int) -> str:
+    """All pairs of the tables ``l`` and ``r`` (a text ``t`` each) by their weighted ratio.
+
+    The texts' lengths differ too little for the scores of parts: ``fail`` says if not.
+    """
+    ratio = "200.0::double * {common} / (len({a}) + len({b}))"
+    of_texts = ratio.format(common=_common("lm", "len(lt)", "rt"), a="lt", b="rt")
+    of_sorted = ratio.format(common=_common("lsm", "len(ls)", "rs"), a="ls", b="rs")
+    return f"""texts as (select t, list_sort(string_split(t, ' ')) as w from (
+    select t from l union select t from r)),
+known as materialized (select t, w, array_to_string(w, ' ') as s, {_masks("t")} as m,
+  {_masks("array_to_string(w, ' ')")} as sm from texts),
+pairs as (select len(list_distinct(a.w)) = len(a.w) and len(list_distinct(b.w)) = len(b.w) as plain,
+    a.t as lt, b.t as rt, a.s as ls, b.s as rs, a.m as lm, a.sm as lsm,
+    list_filter(list_distinct(a.w), lambda x: list_contains(b.w, x)) as shared,
+    array_to_string(list_sort(list_filter(list_distinct(a.w),
+      lambda x: not list_contains(b.w, x))), ' ') as lo,
+    array_to_string(list_sort(list_filter(list_distinct(b.w),
+      lambda x: not list_contains(a.w, x))), ' ') as ro
+  from known a, known b where a.t in (select t from l) and b.t in (select t from r)),
+sized as (select *, case when greatest(len(lt), len(rt)) < 1.5 * least(len(lt), len(rt)) then 0
+      else error('lengths differ too much') end as fail,
+    len(array_to_string(shared, ' ')) as c, case when len(shared) > 0 then 1 else 0 end as gap,
+    case when len(shared) > 0 or not plain then {_masks("lo")} end as lom from pairs),
+scored as (select lt, rt, fail, greatest({of_texts}, 0.95::double * greatest({of_sorted},
+    case when gap = 1 and (lo = '' or ro = '') then 100.0::double
+    when gap = 0 and plain then 0.0::double -- all words against all words, in order
+    else greatest(
+      100.0::double * (1 - (len(lo) + len(ro) - 2 * ({_common("lom", "len(lo)", "ro")}))::double
+        / (2 * (c + gap) + len(lo) + len(ro))),
+      gap * 200.0::double * c / (c + c + gap + len(lo)),
+      gap * 200.0::double * c / (c + c + gap + len(ro))) end)) as score from sized)
+select lt as left, rt as right, score from scored where score >= {cutoff} and fail = 0"""
+
+
 def _greedy_rounds(rounds: int) -> str:
     """Mutual best pairs, taken round by round; more rounds than the data needs."""
     order = "order by score desc, tie, s, t"
@@ -415,6 +470,10 @@ l as (select distinct replace(replace(t, 'OL', 'LO'), 'RED', 'REDD') as s from r
 p as (select s, t, {_score("s", "t")} as score from l, r)
 select s as left, t as right, score from p where score >= 80
 qualify row_number() over (partition by s order by score desc, t) = 1""",
+    "match_fuzzy_wratio": f"""with r as (select distinct {_PART_NAME} as t from part),
+l as (select distinct replace(replace(t, 'OL', 'LO'), 'RED', 'REDD') as t from r),
+{_weighted_pairs(80)}
+qualify row_number() over (partition by lt order by score desc, rt) = 1""",
     "match_one_to_one": ONE_TO_ONE,
     "match_backfill": f"""with {REGISTRY}, {COMPLAINTS}, {DEDUP}, {BY_NAME},
 base as (select k.nome, k.nome_norm, {", ".join(f"n.{m}" for m in METRICS)}

@@ -8,9 +8,8 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The scorer travels to the Python workers by value, so that executors which do not have
 # this package installed can run it.
@@ -253,7 +252,15 @@ def weighted_ratio(a: str, b: str) -> float:
     return float(weighted_ratios([a], [b])[0])
 
 
-@F.pandas_udf(T.DoubleType())
-def weighted_ratio_udf(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for left, right in pairs:
-        yield pd.Series(weighted_ratios(left.to_list(), right.to_list()), index=left.index)
+def weighted_scores(pairs: DataFrame) -> DataFrame:
+    """``left, right, score`` of pairs with ``left_text`` and ``right_text``, in batches.
+
+    A map, not a function: a condition on the score would make Spark compute one twice.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            scores = weighted_ratios(batch["left_text"].to_list(), batch["right_text"].to_list())
+            yield batch[["left", "right"]].assign(score=scores)
+
+    return pairs.mapInPandas(run, "left string, right string, score double")

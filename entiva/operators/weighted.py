@@ -34,7 +34,7 @@ from entiva.functions.similarity import (
     VERY_UNEQUAL_ABOVE,
     letter_marks,
     unlike_letters,
-    weighted_ratio_udf,
+    weighted_scores,
 )
 from entiva.operators.assign import one_to_one
 from entiva.operators.match import (
@@ -286,11 +286,8 @@ def weighted_pairs(
     batches, for candidate pairs only.
     """
     candidates = weighted_candidates(left, right, cutoff, index)
-    scored = candidates.select(
-        "left", "right", weighted_ratio_udf("left_text", "right_text").alias("score")
-    )
-    # A pair of equally long texts is found from both sides.
-    return scored.filter(F.col("score") >= cutoff).distinct()
+    # a pair of equally long texts is found from both sides
+    return weighted_scores(candidates.distinct()).filter(F.col("score") >= cutoff)
 
 
 def _by_word(names: DataFrame) -> DataFrame:
@@ -325,16 +322,10 @@ def weighted_best(
     left: DataFrame, right: DataFrame, cutoff: float, workspace: Workspace, label: str
 ) -> DataFrame:
     """The best candidate of every left name: highest score, then first in name order."""
-    index = index_names(left, right, workspace, label)
-    strict = weighted_pairs(left, right, max(cutoff, SHARED_WORD), index)
-    if cutoff > SHARED_WORD:
-        return best_per_left(strict)
-    best = workspace.keep(
-        best_per_left(strict.unionByName(shared_word_best(left, right))), f"{label}-best"
-    )
-    rest = workspace.keep(without(left, best, "left"), f"{label}-rest")
-    loose = weighted_pairs(rest, right, cutoff, index)
-    return best.unionByName(best_per_left(loose))
+    pairs = weighted_pairs(left, right, cutoff, index_names(left, right, workspace, label))
+    if cutoff <= SHARED_WORD:
+        pairs = pairs.unionByName(shared_word_best(left, right))
+    return best_per_left(pairs)
 
 
 def _shared_word_offers(
