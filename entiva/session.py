@@ -76,3 +76,32 @@ def hadoop_path(spark: SparkSession, path: str):
 def delete_path(spark: SparkSession, path: str) -> None:
     filesystem, target = hadoop_path(spark, path)
     filesystem.delete(target, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, None if there is none."""
+    filesystem, file = hadoop_path(spark, path)
+    if not filesystem.exists(file):
+        return None
+    stream = filesystem.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside ``path`` and rename it over that, in one step where the file
+    system can; readers see the old content or the new."""
+    jvm = spark._jvm
+    filesystem, beside = hadoop_path(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = filesystem.create(beside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    _, target = hadoop_path(spark, path)
+    overwrite = spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        filesystem.getUri(), spark._jsc.hadoopConfiguration()
+    )
+    context.rename(filesystem.makeQualified(beside), filesystem.makeQualified(target), overwrite)

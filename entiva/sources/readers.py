@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from entiva.session import hadoop_path
+from entiva.session import hadoop_path, read_text
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -78,8 +78,26 @@ def layer_path(base: str, layer: str, name: str) -> str:
     return f"{base.rstrip('/')}/{layer}/{name}"
 
 
+def versions_path(base: str, layer: str, name: str) -> str:
+    """Where a published dataset keeps its versions; hidden from readers of the folder."""
+    return f"{layer_path(base, layer, name)}/_versions"
+
+
+def pointer_path(base: str, layer: str, name: str) -> str:
+    return f"{layer_path(base, layer, name)}/_current"
+
+
+def current_version(spark: SparkSession, base: str, layer: str, name: str) -> str | None:
+    """The version that the dataset's pointer names; None if it was never published."""
+    return read_text(spark, pointer_path(base, layer, name))
+
+
 def read_layer(spark: SparkSession, base: str, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(layer_path(base, layer, name))
+    """A dataset of a layer: its current version if it was published, else its files."""
+    version = current_version(spark, base, layer, name)
+    if version is None:
+        return spark.read.parquet(layer_path(base, layer, name))
+    return spark.read.parquet(f"{versions_path(base, layer, name)}/{version}")
 
 
 def list_layer(spark: SparkSession, base: str, layer: str) -> list[str]:

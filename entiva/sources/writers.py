@@ -8,8 +8,15 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from entiva.session import delete_path, hadoop_path
-from entiva.sources.readers import layer_path, list_layer, read_layer
+from entiva.session import hadoop_path, replace_text
+from entiva.sources.readers import (
+    current_version,
+    layer_path,
+    list_layer,
+    pointer_path,
+    read_layer,
+    versions_path,
+)
 
 # Declared widths of text columns in warehouse tables; other text is wide
 # where a database wants a width (JDBC) and unbounded in Parquet tables.
@@ -35,14 +42,27 @@ def write_layer(df: DataFrame, base: str, layer: str, name: str) -> str:
 
 
 def publish_layer(df: DataFrame, base: str, layer: str, name: str) -> str:
-    """The same by way of a hidden folder: the dataset is replaced once its rows are written,
-    so a job that fails leaves the old one as it was."""
-    hidden = write_layer(df, base, layer, f"_{name}_{uuid.uuid4().hex}")
-    path = layer_path(base, layer, name)
-    delete_path(df.sparkSession, path)
-    filesystem, written = hadoop_path(df.sparkSession, hidden)
-    filesystem.rename(written, hadoop_path(df.sparkSession, path)[1])
-    return path
+    """Write a new version of a dataset, then let the dataset's pointer file name it.
+
+    Readers follow the pointer (``read_layer``), so they get the old version or the new one,
+    whole, whenever a job fails or they look. The version that was current before stays for
+    those who are reading it; older ones are deleted.
+    """
+    spark, version = df.sparkSession, uuid.uuid4().hex
+    folder = versions_path(base, layer, name)
+    before = current_version(spark, base, layer, name)
+    df.write.parquet(f"{folder}/{version}")
+    replace_text(spark, pointer_path(base, layer, name), version)
+    filesystem, versions = hadoop_path(spark, folder)
+    for status in filesystem.listStatus(versions):
+        if status.getPath().getName() not in (version, before):
+            filesystem.delete(status.getPath(), True)
+    if before is None:
+        # files of a dataset that was not published are replaced as well
+        for status in filesystem.listStatus(versions.getParent()):
+            if not status.getPath().getName().startswith(("_", ".")):
+                filesystem.delete(status.getPath(), True)
+    return f"{folder}/{version}"
 
 
 def text_type(name: str, widths: Mapping[str, int]) -> str:

@@ -15,6 +15,7 @@ from entiva.operators.weighted import (
     weighted_candidates,
     weighted_matcher,
 )
+from entiva.session import Workspace
 
 
 def names(spark, texts):
@@ -227,6 +228,28 @@ def test_one_to_one_equals_sequential_greedy(spark, workspace, parts):
     assert got == sequential_greedy(scored)
 
 
+def test_a_round_writes_open_names_and_pairs_are_written_once(spark, workspace, monkeypatch):
+    rng = random.Random(3)
+    pairs = {(f"l{rng.randrange(200)}", f"r{rng.randrange(200)}") for _ in range(4000)}
+    scored = sorted((a, b, rng.choice([80, 85, 90])) for a, b in pairs)
+    written, keep = [], Workspace.keep
+
+    def counted(self, df, label, by=None):
+        found = keep(self, df, label, by)
+        written.append((label, found.count()))
+        return found
+
+    monkeypatch.setattr(Workspace, "keep", counted)
+    df = spark.createDataFrame(scored, "left string, right string, score int")
+    got = sorted(map(tuple, one_to_one(df, workspace, "a").collect()))
+    assert got == sequential_greedy(scored)
+    assert [n for label, n in written if "pairs" in label] == [len(scored)]
+    open_names = [n for label, n in written if "best" in label]
+    assert open_names[0] == len({a for a, _ in pairs}) + len({b for _, b in pairs})
+    assert open_names[-1] == 0 and len(open_names) > 3
+    assert all(later < before for before, later in zip(open_names, open_names[1:]))
+
+
 def test_one_to_one_of_nothing(spark, workspace):
     empty = spark.createDataFrame([], "left string, right string, score int")
     assert one_to_one(empty, workspace, "a").count() == 0

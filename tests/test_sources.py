@@ -1,7 +1,10 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from entiva.session import Workspace, scratch_root
+from entiva.sources import writers
 from entiva.sources.readers import (
     JdbcSplit,
     jdbc_read_options,
@@ -15,6 +18,7 @@ from entiva.sources.writers import (
     jdbc_write_options,
     load_layer,
     load_table,
+    publish_layer,
     write_layer,
 )
 
@@ -120,3 +124,37 @@ def test_scratch_is_the_configured_folder(spark, tmp_path):
         assert scratch_root(spark) == before.rstrip("/")
         assert Workspace(spark).path.startswith(before.rstrip("/"))
     assert Workspace(spark).path != Workspace(spark).path
+
+
+def test_a_failed_publication_leaves_the_old_version(spark, workspace, monkeypatch):
+    base, old, new = workspace.path, spark.range(3).toDF("n"), spark.range(5).toDF("n")
+    broken = new.select(F.when(F.col("n") < 4, F.col("n")).otherwise(F.raise_error(F.lit("no"))).alias("n"))
+
+    def stored():
+        return sorted(r.n for r in read_layer(spark, base, "trusted", "d").collect())
+
+    write_layer(new, base, "trusted", "d")
+    publish_layer(old, base, "trusted", "d")
+    assert stored() == [0, 1, 2]
+    assert all(p.startswith(("_", ".")) for p in os.listdir(f"{base}/trusted/d"))
+    with pytest.raises(Exception):
+        publish_layer(broken, base, "trusted", "d")  # while rows are written
+    assert stored() == [0, 1, 2]
+
+    def stopped(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(writers, "replace_text", stopped)  # between the steps
+        publish_layer(new, base, "trusted", "d")
+    assert stored() == [0, 1, 2]
+    reading = read_layer(spark, base, "trusted", "d")
+    publish_layer(new, base, "trusted", "d")
+    assert stored() == [0, 1, 2, 3, 4]
+    assert reading.count() == 3  # the version before stays readable
+    assert list_layer(spark, base, "trusted") == ["d"]
+    publish_layer(old, base, "trusted", "d")
+    versions = [p for p in os.listdir(f"{base}/trusted/d/_versions") if not p.startswith(".")]
+    assert len(versions) == 2 and stored() == [0, 1, 2]
+    publish_layer(read_layer(spark, base, "trusted", "d"), base, "trusted", "d")
+    assert stored() == [0, 1, 2]
