@@ -98,7 +98,7 @@ def levenshtein_pairs(
     return (
         pairs.filter(distance >= 0)
         .select("left", "right", levenshtein_score(distance, longer).alias("score"))
-        .dropDuplicates(["left", "right"])
+        .distinct()
     )
 
 
