@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +59,30 @@ def attach(rows: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(few, key).unionByName(rest)
 
 
+#: Rows that are sent to a Python worker, and looked at there, at a time.
+BATCH_ROWS = 256
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Actions inside send their Python workers batches of at most ``rows`` rows, so that what
+    both sides hold of whole texts does not depend on the session's setting."""
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows, where the caller set no smaller ones."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 _shipped: set[str] = set()
 
 

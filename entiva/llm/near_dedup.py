@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiva.llm.common import attach, ship
+from entiva.llm.common import attach, ship, slices, small_batches
 from entiva.llm.components import components
 from entiva.llm.words import hashed_words, in_blocks, mix
 from entiva.session import Workspace
@@ -100,7 +100,7 @@ def signed_sets(
     kind = documents.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts, keys, found = [], [], []
             for shingles in shingle_sets(batch.column(1).to_pylist(), size):
                 counts.append(len(shingles))
@@ -136,7 +136,7 @@ def compared(
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             commons, unions = [], []
             left = shingle_sets(batch.column(2).to_pylist(), size)
             right = shingle_sets(batch.column(3).to_pylist(), size)
@@ -170,7 +170,7 @@ def loose_shingles(
     kind = documents.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for i, one in enumerate(shingle_sets(batch.column(2).to_pylist(), size)):
                 ids = batch.slice(i, 1).take(pa.array(np.zeros(len(one), np.int32)))
                 yield pa.RecordBatch.from_arrays(
@@ -207,9 +207,11 @@ def near_groups(
     """
     ship(documents.sparkSession)
     workspace = workspace or Workspace(documents.sparkSession)
-    sets = workspace.keep(
-        signed_sets(documents, id_column, text_column, shingle_words, bands, rows), "sets"
-    )
+    spark = documents.sparkSession
+    with small_batches(spark):
+        sets = workspace.keep(
+            signed_sets(documents, id_column, text_column, shingle_words, bands, rows), "sets"
+        )
     groups = workspace.keep(
         sets.filter("set_key is not null")
         .groupBy("set_key")
@@ -242,6 +244,10 @@ def near_groups(
     check = (documents, id_column, text_column, shingle_words)
     similar = f"100 * common >= {least_percent} * either"
 
+    def verified(pairs: DataFrame, label: str) -> DataFrame:
+        with small_batches(spark):
+            return workspace.keep(compared(pairs, *check), label)
+
     def pairs_of(rows: DataFrame) -> DataFrame:
         """Distinct pairs of ``node`` and ``other`` that sizes alone do not rule out."""
         return (
@@ -256,7 +262,7 @@ def near_groups(
             "node", "n", F.col("leader.node").alias("other"), F.col("leader.n").alias("m")
         )
     )
-    known = workspace.keep(compared(first, *check), "compared_0")
+    known = verified(first, "compared_0")
     done = known.select("a", "b")
     labels = workspace.keep(components(known.filter(similar), workspace, "0"), "labels_0")
 
@@ -306,7 +312,7 @@ def near_groups(
                 "node", "n", F.col("leader.node").alias("other"), F.col("leader.n").alias("m")
             )
         ).join(done, ["a", "b"], "left_anti")
-        found = workspace.keep(compared(tried, *check), f"compared_{turn}")
+        found = verified(tried, f"compared_{turn}")
         done = done.unionByName(found.select("a", "b"))
         new = found.filter(similar)
         if new.isEmpty():
@@ -316,9 +322,10 @@ def near_groups(
 
     # What is left are pairs across components. Their common shingles are among those that
     # occur in several components; their counts by class bound the similarity of a pair.
-    loose = workspace.keep(
-        loose_shingles(rows_left.select("node", "component").distinct(), *check), "loose"
-    )
+    with small_batches(spark):
+        loose = workspace.keep(
+            loose_shingles(rows_left.select("node", "component").distinct(), *check), "loose"
+        )
     spread = (
         loose.groupBy("shingle")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -350,7 +357,7 @@ def near_groups(
         f" and {percent} * ({common}) >= {least_percent} * (n + m)"
     )
     last = pairs_of(crossing).join(done, ["a", "b"], "left_anti")
-    new = workspace.keep(compared(last, *check), "compared_last").filter(similar)
+    new = verified(last, "compared_last").filter(similar)
     if not new.isEmpty():
         labels = relabel(new, "last")
     labelled = groups.join(labels, "node", "left").select(
