@@ -25,6 +25,8 @@ from entiva.session import Workspace
 
 # Gram counts are kept per hash bucket, so the broadcast table has a fixed size.
 FREQUENCY_BUCKETS = 65_536
+# A canonical text with more names than this is numbered in several tasks.
+STRETCH_NAMES = 100_000
 # Cutoffs tried from strict to loose: only names without a strict match meet the loose one.
 STRICT_STEPS = (90,)
 
@@ -39,18 +41,63 @@ def distinct_names(df: DataFrame, name: str, aliases: Aliases | None = None) ->
     return resolve_aliases(names, "name", "text", aliases)
 
 
-def exact_canonical_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+def exact_canonical_pairs(
+    left: DataFrame, right: DataFrame, workspace: Workspace | None = None, label: str = "equal"
+) -> DataFrame:
     """Pair names with equal canonical text, first with first in name order.
 
     Names are numbered within their text and paired by number, so however many aliases a
     canonical name has, none is gathered into an array.
     """
-    place = F.row_number().over(Window.partitionBy("text").orderBy("name")).alias("place")
-    lefts = left.select("text", F.col("name").alias("left"), place)
-    rights = right.select("text", F.col("name").alias("right"), place)
+    workspace = workspace or Workspace(left.sparkSession)
+    lefts = placed(left, workspace, f"{label}-left").withColumnRenamed("name", "left")
+    rights = placed(right, workspace, f"{label}-right").withColumnRenamed("name", "right")
     return lefts.join(rights, ["text", "place"]).select("left", "right")
 
 
+def placed(
+    names: DataFrame, workspace: Workspace, label: str, stretch_names: int = STRETCH_NAMES
+) -> DataFrame:
+    """``text, name, place``: the number, from 1, of each name among those of its text.
+
+    A text with over ``stretch_names`` names is not numbered in one task: its names are dealt
+    into stretches by range of name, numbered within them, and moved by the sizes of the
+    stretches before. What meets per text are the sizes, one number a stretch. Stretches are
+    written, so that a lost executor cannot deal them anew.
+    """
+    by_name = Window.partitionBy("text").orderBy("name")
+    sizes = names.groupBy("text").agg(F.count(F.lit(1)).alias("names"))
+    large = workspace.keep(sizes.filter(F.col("names") > stretch_names), f"{label}-large")
+    total = large.agg(F.sum("names")).first()[0]
+    if total is None:
+        return names.select("text", "name", F.row_number().over(by_name).cast("long").alias("place"))
+    small = names.join(large.select("text"), "text", "left_anti").select(
+        "text", "name", F.row_number().over(by_name).cast("long").alias("place")
+    )
+    dealt = workspace.keep(
+        names.select("text", "name")
+        .join(large.select("text"), "text", "left_semi")
+        .repartitionByRange(total // stretch_names + 1, "text", "name")
+        .withColumn("stretch", F.spark_partition_id()),
+        f"{label}-stretches",
+    )
+    before = Window.partitionBy("text").orderBy("stretch").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = (
+        dealt.groupBy("text", "stretch")
+        .agg(F.count(F.lit(1)).alias("names"))
+        .select("text", "stretch", F.coalesce(F.sum("names").over(before), F.lit(0)).alias("offset"))
+    )
+    within = F.row_number().over(Window.partitionBy("text", "stretch").orderBy("name"))
+    spread = (
+        dealt.withColumn("within", within)
+        .join(offsets, ["text", "stretch"])
+        .select("text", "name", (F.col("offset") + F.col("within")).alias("place"))
+    )
+    return small.unionByName(spread)
+
+
 def numbered(grams: Column) -> Column:
     """Keys for an array of grams; the k-th repeat of a gram gets a key of its own."""
     return F.transform(
@@ -142,7 +189,10 @@ def match_names(
     lefts = workspace.keep(distinct_names(left, name, aliases), f"{label}-left")
     rights = workspace.keep(distinct_names(right, name, aliases), f"{label}-right")
     exact = workspace.keep(
-        exact_canonical_pairs(lefts, rights).withColumn("score", F.lit(100.0)), f"{label}-alias"
+        exact_canonical_pairs(lefts, rights, workspace, f"{label}-equal").withColumn(
+            "score", F.lit(100.0)
+        ),
+        f"{label}-alias",
     )
     similar = (matcher or levenshtein_matcher)(
         without(lefts, exact, "left"), without(rights, exact, "right"), cutoff, workspace, label

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 from entiva.functions.similarity import common_subsequences, letter_marks, weighted_ratio
 from entiva.operators import segments
 from entiva.operators.assign import one_to_one
-from entiva.operators.match import best_per_left, comparable, levenshtein_pairs, match_names
+from entiva.operators.match import (
+    best_per_left,
+    comparable,
+    levenshtein_pairs,
+    match_names,
+    placed,
+)
 from entiva.operators.weighted import (
     SHARED_WORD,
     index_names,
@@ -287,6 +293,25 @@ def test_two_names_of_one_canonical_name_keep_both_candidates(spark, workspace):
     ]
 
 
+def test_many_names_of_one_canonical_name_are_numbered_in_several_tasks(spark, workspace):
+    rows = [(f"N{i * 7919 % 3000:04}", "MANY") for i in range(3000)] + [
+        (f"X{i:04}", f"FEW {i % 400}") for i in range(1200)
+    ]
+    df = spark.createDataFrame(rows, "name string, text string").repartition(7)
+    got = placed(df, workspace, "p", stretch_names=100)
+    expected = {}
+    for text in {t for _, t in rows}:
+        for place, name in enumerate(sorted(n for n, t in rows if t == text), 1):
+            expected[text, name] = place
+    assert {(r["text"], r["name"]): r["place"] for r in got.collect()} == expected
+    assert got.count() == len(expected)
+    stretches = spark.read.parquet(workspace.folder("p-stretches")).groupBy("stretch").count()
+    assert stretches.count() > 15  # the ranges are drawn by a sample
+    assert stretches.agg(F.max("count")).first()[0] < 600
+    none = placed(df.limit(0), workspace, "none", stretch_names=100)
+    assert none.count() == 0 and none.columns == got.columns
+
+
 def test_weighted_matcher_is_one_to_one_and_leaves_no_pair_open(spark, workspace):
     rng = random.Random(4)
     words = ["BANCO", "CREDITO", "NORTE", "SUL", "LESTE", "FINANCEIRA", "X"]
