@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from entiva.operators.shape import add_constants, require_widths, union_by_name
 from entiva.plans.delivery import indicator_table, master_table
+from entiva.plans.ledger import Ledger, files_fingerprint
 from entiva.plans.trusted import (
     COMPLAINT_COLUMNS,
     COMPLAINT_COUNTS,
@@ -150,6 +151,15 @@ def run_delivery(
         load_layer(spark, base, DELIVERY, warehouse, prefix=table_prefix)
 
 
+def sources_fingerprint(spark: SparkSession, files: SourceFiles) -> list[str]:
+    """What the raw layer is made from: the files, and how they are read."""
+    plain = files_fingerprint(
+        spark, [files.registry, files.reviews_with_segment, files.reviews_with_id]
+    )
+    quarterly = files_fingerprint(spark, [files.complaints], files.glob, files.recursive)
+    return [plain, quarterly, str(files)]
+
+
 def run_all(
     spark: SparkSession,
     files: SourceFiles,
@@ -157,9 +167,30 @@ def run_all(
     *,
     rule: str = "literal",
     layouts: Sequence[str] = (MASTER, INDICATORS),
+    warehouse: str | None = None,
+    table_prefix: str = "",
+    resume: bool = False,
     **options: Any,
 ) -> None:
-    """Run the layers in order; ``options`` are those of :func:`run_delivery`. An error stops the run, so no layer is built on a broken one."""
-    run_raw(spark, files, base)
-    run_trusted(spark, base, rule)
-    run_delivery(spark, base, layouts, **options)
+    """Run the layers in order; ``options`` are those of :func:`run_delivery`. An error stops
+    the run, so no layer is built on a broken one.
+
+    With ``resume`` a step is left out if the run that stored it had the same source files
+    (path, length, time of change), rule and options, so a run that was stopped goes on from
+    the last layer that it published. Changed code is not noticed; run without ``resume`` then.
+    Options given as frames, lambdas or objects count as changed. The load into tables, which
+    is done last, is always repeated.
+    """
+    ledger = Ledger(spark, base, resume)
+    made = ledger.run(
+        RAW, sources_fingerprint(spark, files), lambda: run_raw(spark, files, base)
+    )
+    made = ledger.run(TRUSTED, [made, rule], lambda: run_trusted(spark, base, rule))
+    for layout in layouts:
+        ledger.run(
+            f"{DELIVERY}-{layout}",
+            [made, layout, options],
+            lambda layout=layout: run_delivery(spark, base, [layout], **options),
+        )
+    if warehouse is not None:
+        load_layer(spark, base, DELIVERY, warehouse, prefix=table_prefix)

@@ -192,6 +192,54 @@ def test_a_failing_layer_stops_the_run(spark, workspace, tmp_path):
         read_layer(spark, workspace.path, "delivery", "banco_final")
 
 
+def test_a_stopped_run_goes_on_from_the_last_layer(spark, workspace, tmp_path, monkeypatch):
+    files, base = write_sources(tmp_path), workspace.path
+    ran = []
+    for name in ("run_raw", "run_trusted", "run_delivery"):
+        real = getattr(layers, name)
+
+        def noted(*args, real=real, name=name, **options):
+            ran.append(name)
+            return real(*args, **options)
+
+        monkeypatch.setattr(layers, name, noted)
+    master = layers.master_table
+
+    def broken(*_, **__):
+        raise RuntimeError("stopped")
+
+    run = lambda **options: layers.run_all(
+        spark, files, base, layouts=[layers.MASTER], resume=True, **options
+    )
+    monkeypatch.setattr(layers, "master_table", broken)
+    with pytest.raises(RuntimeError):
+        run()
+    assert ran == ["run_raw", "run_trusted", "run_delivery"]
+    monkeypatch.setattr(layers, "master_table", master)
+    ran.clear()
+    run()  # raw files are not read again, delivery is
+    assert ran == ["run_delivery"]
+    whole = read_layer(spark, base, "delivery", "banco_final").collect()
+    assert len(whole) == 2
+    ran.clear()
+    run()
+    assert ran == []
+    run(complaint_cutoff=95)  # other options
+    assert ran == ["run_delivery"]
+    ran.clear()
+    run(complaint_cutoff=95, aliases=spark.createDataFrame([("A", "B")], "nome string, canonico string"))
+    assert ran == ["run_delivery"]  # a frame has no fingerprint
+    ran.clear()
+    with (tmp_path / "registry.tsv").open("a") as out:
+        out.write("S4\t77\tBANCO NOVO\n")
+    run()
+    assert ran == ["run_raw", "run_trusted", "run_delivery"]
+    assert read_layer(spark, base, "delivery", "banco_final").count() == 3
+    ran.clear()
+    layers.run_all(spark, files, base, layouts=[layers.MASTER])
+    assert ran == ["run_raw", "run_trusted", "run_delivery"]
+
+
 def test_rules_differ_on_the_short_suffix(spark):
     raw = spark.createDataFrame([("S1", "1", "BANCO DAYCOVAL S.A")], "a string, b string, c string")
     names = [trusted_registry(raw, rule).first()["nome_norm"] for rule in ("literal", "pattern")]
