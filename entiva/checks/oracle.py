@@ -369,6 +369,8 @@ from orders group by 1""",
     "sink_load_layer": """select 'customer' as table_name, 2 * count(*) as n_rows from customer
 union all select 'orders', 2 * count(*) from orders
 union all select 'supplier', 2 * count(*) from supplier""",
+    "sink_load_batches": """select o_orderkey, o_orderstatus, o_totalprice,
+  case when o_orderstatus = 'O' then 'day-1' else 'day-2' end as lote from orders""",
     "proj_select_rename": f"""with {RAW_REGISTRY}
 select "Nome" as nome, "CNPJ" as cnpj, "Segmento" as faixa from raw_registry""",
     "proj_positional_rename": f"""with {RAW_COMPLAINTS}

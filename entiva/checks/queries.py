@@ -203,6 +203,22 @@ def sink_load_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.layer_counts({name: spark.table(loaded) for name, loaded in tables.items()})
 
 
+@query
+def sink_load_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, one of them loaded twice, as a rerun after a failure does."""
+    workspace, prefix = Workspace(spark), f"batched_{uuid.uuid4().hex}_"
+    warehouse, loaded = workspace.folder("warehouse"), []
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    for batch, open_ones in (("day-1", True), ("day-2", False), ("day-1", True)):
+        rows = orders.filter((F.col("o_orderstatus") == "O") == open_ones)
+        write_layer(rows, workspace.path, layers.DELIVERY, "orders")
+        loaded = load_layer(
+            spark, workspace.path, layers.DELIVERY, warehouse, prefix=prefix, mode="append",
+            batch=batch,
+        )
+    return spark.table(loaded["orders"])
+
+
 # Projections.
 
 

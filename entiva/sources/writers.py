@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
 
@@ -23,6 +24,9 @@ from entiva.sources.readers import (
 TEXT_WIDTHS = {"nome": 500, "nome_norm": 255, "cnpj_norm": 20, "segmento": 10}
 WIDE_TEXT = 65535
 
+#: Name of the column that holds the batch of a row, in tables that are loaded by batch.
+BATCH = "lote"
+
 # SQL type names of a warehouse table.
 SQL_TYPES = {
     T.LongType(): "BIGINT",
@@ -84,9 +88,14 @@ def jdbc_column_types(df: DataFrame, widths: Mapping[str, int] = TEXT_WIDTHS) ->
 
 
 def create_typed_table(
-    df: DataFrame, table: str, path: str, widths: Mapping[str, int] = TEXT_WIDTHS
+    df: DataFrame,
+    table: str,
+    path: str,
+    widths: Mapping[str, int] = TEXT_WIDTHS,
+    partition: str | None = None,
 ) -> None:
-    """Create a Parquet catalog table if it is missing, with declared text widths."""
+    """Create a Parquet catalog table if it is missing, with declared text widths; with
+    ``partition``, a last text column of that name, by whose values it is stored."""
     columns = ", ".join(
         f"`{f.name}` "
         + (
@@ -96,8 +105,11 @@ def create_typed_table(
         )
         for f in df.schema.fields
     )
+    extra = f", `{partition}` STRING" if partition else ""
+    stored = f" PARTITIONED BY (`{partition}`)" if partition else ""
     df.sparkSession.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}{extra}) USING parquet{stored} "
+        f"LOCATION '{path}'"
     )
 
 
@@ -113,6 +125,36 @@ def load_table(
     df.write.insertInto(table, overwrite=mode == "overwrite")
 
 
+def load_batch(
+    df: DataFrame,
+    table: str,
+    path: str,
+    batch: str,
+    widths: Mapping[str, int] = TEXT_WIDTHS,
+) -> None:
+    """Append ``df`` as the batch of that name; a load that is repeated adds nothing.
+
+    A batch is a partition of the table, in its last column ``BATCH``, and a load replaces
+    its own partition only. So one that failed halfway is repaired by running it again, and
+    batches can be loaded in any order or at the same time.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9_.:-]+", batch):
+        raise ValueError(f"batch {batch!r} is not made of letters, digits and _.:-")
+    if BATCH in df.columns:
+        raise ValueError(f"the rows have a column {BATCH} of their own")
+    spark = df.sparkSession
+    create_typed_table(df, table, path, widths, partition=BATCH)
+    if spark.table(table).columns != [*df.columns, BATCH]:
+        raise ValueError(f"table {table} has other columns, or no batches")
+    df.createOrReplaceTempView(view := f"batch_{uuid.uuid4().hex}")
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (`{BATCH}` = '{batch}') SELECT * FROM {view}"
+        )
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def load_layer(
     spark: SparkSession,
     base: str,
@@ -122,18 +164,24 @@ def load_layer(
     prefix: str = "",
     mode: str = "overwrite",
     widths: Mapping[str, int] = TEXT_WIDTHS,
+    batch: str | None = None,
 ) -> dict[str, str]:
     """Load every dataset of a layer into a table named after it; returns name to table.
 
     ``append`` adds the rows again on a rerun, as a bulk COPY does; ``overwrite`` is
-    idempotent.
+    idempotent. ``append`` with the name of a ``batch`` is so too: see :func:`load_batch`.
     """
+    if batch is not None and mode != "append":
+        raise ValueError("a batch is appended; mode is not append")
     tables = {}
     for entry in list_layer(spark, base, layer):
         name = entry.removesuffix(".parquet")
         table = prefix + name
         stored = read_layer(spark, base, layer, entry)
-        load_table(stored, table, f"{warehouse}/{name}", mode, widths)
+        if batch is not None:
+            load_batch(stored, table, f"{warehouse}/{name}", batch, widths)
+        else:
+            load_table(stored, table, f"{warehouse}/{name}", mode, widths)
         tables[name] = table
     return tables
 

@@ -16,6 +16,7 @@ from entiva.sources.readers import (
 from entiva.sources.writers import (
     jdbc_column_types,
     jdbc_write_options,
+    load_batch,
     load_layer,
     load_table,
     publish_layer,
@@ -80,6 +81,38 @@ def test_layers_and_typed_tables(spark, workspace):
         load_table(wide, "t_src_one", workspace.folder("wh/one"))
 
 
+def test_a_batch_that_is_loaded_again_adds_nothing(spark, workspace):
+    def load(batch, data, **options):
+        df = spark.createDataFrame(data, "nome string, n bigint")
+        write_layer(df, workspace.path, "delivery", "b")
+        return load_layer(
+            spark, workspace.path, "delivery", workspace.folder("wh"), prefix="t_batch_",
+            mode="append", batch=batch, **options,
+        )["b"]
+
+    load("2021-1", [("A", 1), ("A", 1), ("B", 2)])
+    load("2021-2", [("C", 3)])
+    table = load("2021-1", [("A", 1), ("A", 1), ("B", 2)])
+    assert rows(spark.table(table)) == [
+        ("A", 1, "2021-1"), ("A", 1, "2021-1"), ("B", 2, "2021-1"), ("C", 3, "2021-2")
+    ]
+    load("2021-1", [("D", 4)])  # a corrected batch replaces itself only
+    assert rows(spark.table(table)) == [("C", 3, "2021-2"), ("D", 4, "2021-1")]
+    load("2021-2", spark.createDataFrame([], "nome string, n bigint").collect())
+    assert rows(spark.table(table)) == [("D", 4, "2021-1")]
+    with pytest.raises(ValueError, match="letters"):
+        load("x'); drop", [("A", 1)])
+    with pytest.raises(Exception, match="(?i)exceeds|length"):
+        load("2021-3", [("A" * 501, 1)])
+    assert rows(spark.table(table)) == [("D", 4, "2021-1")]
+    plain = spark.createDataFrame([("A", 1)], "nome string, n bigint")
+    load_table(plain, "t_batch_plain", workspace.folder("wh/plain"))
+    with pytest.raises(ValueError, match="no batches"):
+        load_batch(plain, "t_batch_plain", workspace.folder("wh/plain"), "1")
+    with pytest.raises(ValueError, match="mode"):
+        load_layer(spark, workspace.path, "delivery", workspace.folder("wh"), batch="1")
+
+
 def test_header_is_checked_and_fields_may_hold_line_breaks(spark, tmp_path):
     (tmp_path / "a.csv").write_text('X;Y\n"one\ntwo";2\n')
     read = [spark, str(tmp_path / "a.csv"), ["x", "y"]]
