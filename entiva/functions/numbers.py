@@ -30,13 +30,33 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
 
 
+#: Decimals that values are summed as: places, and the size that they stay below, so that a
+#: sum of 10**12 of them has no more than 38 digits. A value takes the first that holds it.
+BANDS = ((10, 1e16), (24, 1e2), (14, 1e12), (0, 1e26))
+
+
 def exact_mean(c: Column) -> Column:
     """Mean of the values as they are, ignoring nulls.
 
-    Summed as decimals of ten places, more than any source carries, so the result does not
-    depend on row order or partitioning.
+    Summed as decimals, so the result does not depend on row order or partitioning: values of
+    up to ten places by themselves, others in three bands of size. Values that none holds (from
+    1e26 on, or with digits beyond the 24th place) are summed as doubles, in the order they
+    come. No finite value ends the job.
     """
-    return F.sum(c.cast("decimal(38,10)")).cast("double") / F.count(c)
+    value = c.cast("double")
+    left = value.isNotNull()
+    sums = []
+    for places, below in BANDS:
+        # casts of what is not below would overflow
+        exact = F.when(F.abs(value) < below, value).try_cast(f"decimal(38,{places})")
+        fits = F.coalesce(exact.cast("double") == value, F.lit(False))
+        sums.append(F.try_sum(F.when(left & fits, exact)).cast("double"))
+        left = left & ~fits
+    sums.append(F.sum(F.when(left, value)))
+    total = sums[0]
+    for other in sums[1:]:
+        total = F.coalesce(total + other, total, other)
+    return total / F.nullif(F.count(c), F.lit(0))
 
 
 def whole_to_long(c: Column, label: str) -> Column:

@@ -99,6 +99,20 @@ def test_ratio_and_mean(spark):
     assert got == {"a": 0.3 / 2, "b": None}
     df = spark.createDataFrame([(0.004,), (0.004,)], "v double")
     assert df.agg(exact_mean(F.col("v"))).first()[0] == 0.004
+    extremes = {"small": [1e-11, 3e-11], "large": [1e30], "mixed": [1e30, 1e-11, None, 2.5],
+                "thirds": [1 / 3, 2 / 3, 100 / 3], "whole": [1e18, 3e18], "huge": [1.7e308],
+                "tiny": [5e-324], "cancel": [1e22, 0.5, -1e22, 1e-20]}
+    expected = {"small": 2e-11, "large": 1e30, "mixed": 1e30 / 3, "thirds": (103 / 3) / 3,
+                "whole": 2e18, "huge": 1.7e308, "tiny": 5e-324, "cancel": 0.125}
+    rows = [(k, v) for k, vs in extremes.items() for v in vs]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "k string, v double").repartition(3)
+        got = dict(df.groupBy("k").agg(exact_mean(F.col("v"))).collect())
+        assert got == pytest.approx(expected, rel=1e-15, abs=0)
+    many = spark.range(20_000).selectExpr(
+        "pmod(xxhash64(id), 1000003) / 1000.0D / (1 + id % 7) as v")
+    means = {many.repartition(n, "v").agg(exact_mean(F.col("v"))).first()[0] for n in (1, 3, 8)}
+    assert len(means) == 1
     odd = ["NaN", "Infinity", "-Infinity", "0,004"]
     assert apply(spark, parse_decimal_comma, odd) == [None, None, None, 0.004]
     assert apply(spark, to_double, odd[:3]) == [None] * 3
