@@ -55,8 +55,13 @@ def write(path: str, keys: np.ndarray, columns: list[np.ndarray]) -> None:
     store(path, [header, *parts])
 
 
+def on_disk(path: str) -> str:
+    """The name of a file that is given by name or as ``file:/…`` or ``file:///…``; others stay."""
+    return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:/") else path
+
+
 def store(path: str, parts: list[np.ndarray]) -> None:
-    local = path.removeprefix("file://")
+    local = on_disk(path)
     if "://" not in local:
         os.makedirs(os.path.dirname(local), exist_ok=True)
         own = f"{local}.{uuid.uuid4().hex}"
@@ -84,7 +89,7 @@ def _padded(part: np.ndarray) -> bytes:
 def mapped(path: str) -> np.ndarray:
     """The file's bytes, read on demand. A file in another store is copied first, and the
     copy, already without a name, goes with the map."""
-    local = path.removeprefix("file://")
+    local = on_disk(path)
     if "://" not in local:
         return np.memmap(local, np.uint8, "r")
     from pyarrow import fs

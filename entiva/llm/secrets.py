@@ -35,31 +35,98 @@ SIZE = 128
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
+#: Outputs are gathered in stretches of so many, these in stretches of as many, and so on.
+STRETCH, LEVELS = 32, 3
+
+
+def bound(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def scanned(items: Column, zero: Column, step, kind: str) -> Column:
+    """What ``step`` (of state and item: new state, output) gives for each item, in order.
+
+    An array grows by copying, so outputs are gathered in short stretches, which are joined level
+    by level: the work is in proportion to the items.
+    """
+
+    def stretch(state: Column, items: Column, first: Column, level: int) -> Column:
+        """State after, and outputs of, the items from ``first`` to the end of the stretch."""
+        size = STRETCH**level
+        last = F.size(items) - 1
+        if level <= LEVELS:
+            last = F.least(last, first + size - 1)
+        start = F.struct(
+            state.alias("state"), F.array().cast(kind if level == 1 else f"array<{kind}>").alias("out")
+        )
+
+        def one(own: Column, place: Column) -> Column:
+            if level == 1:
+                after, output = step(own["state"], F.get(items, place))
+                return F.struct(after.alias("state"), F.array_append(own["out"], output).alias("out"))
+            return bound(
+                stretch(own["state"], items, place, level - 1),
+                lambda p: F.struct(
+                    p["state"].alias("state"), F.array_append(own["out"], p["out"]).alias("out")
+                ),
+            )
+
+        def joined(own: Column) -> Column:
+            out = own["out"] if level == 1 else F.flatten(own["out"])
+            return F.struct(own["state"].alias("state"), out.alias("out"))
+
+        return F.aggregate(F.sequence(first, last, F.lit(size // STRETCH)), start, one, joined)
+
+    def run(items: Column) -> Column:
+        whole = stretch(zero, items, F.lit(0), LEVELS + 1)["out"]
+        return F.when(F.size(items) > 0, whole).otherwise(F.array().cast(kind))
+
+    return bound(items, run)
+
+
 def spans_of(text: Column, pattern: str, kind: int, keep=None) -> Column:
     """Places of the matches of ``pattern`` that ``keep`` (of match and number) accepts."""
-    p = F.lit(pattern)
     gaps = F.split(text, pattern, -1)
-    matches = F.regexp_extract_all(text, p, F.lit(0))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    accepted = F.transform(matches, lambda _: F.lit(True)) if keep is None else keep(text, matches)
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
+    def step(at: Column, pair: Column) -> tuple[Column, Column]:
+        start = at + F.length(pair["gap"])
         end = start + F.length(pair["match"])
-        one = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        grown = F.array_append(state["spans"], one)
-        if keep is not None:
-            grown = F.when(pair["keep"], grown).otherwise(state["spans"])
-        return F.struct(end.alias("at"), grown.alias("spans"))
+        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
+        return end, F.when(pair["keep"], span)
 
     pairs = F.arrays_zip(
         F.slice(gaps, 1, F.size(matches)).alias("gap"),
         matches.alias("match"),
-        *([keep(text, matches).alias("keep")] if keep is not None else []),
+        accepted.alias("keep"),
     )
-    found = F.aggregate(pairs, zero, step, lambda state: state["spans"])
+    found = F.array_compact(scanned(pairs, F.lit(0), step, SPANS))
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPANS))
 
 
+def apart(runs: Column, base: Column) -> Column:
+    """The ``runs`` that overlap no span of ``base``: two passes over both in order of place,
+    for spans that start no later, and for those that start later."""
+    def is_run(span: Column) -> Column:
+        return span["kind"] == KINDS.index("random")
+
+    def forward(end: Column, span: Column) -> tuple[Column, Column]:
+        held = F.when(is_run(span), end).otherwise(F.greatest(end, span["end"]))
+        return held, F.when(~is_run(span) | (span["start"] >= end), span)
+
+    def backward(start: Column, span: Column) -> tuple[Column, Column]:
+        held = F.when(is_run(span), start).otherwise(span["start"])
+        return held, F.when(is_run(span) & (span["end"] <= start), span)
+
+    ahead = scanned(F.array_sort(F.concat(base, runs)), F.lit(0), forward, SPANS)
+    last = F.lit((1 << 31) - 1)
+    behind = scanned(F.reverse(F.array_compact(ahead)), last, backward, SPANS)
+    free = F.reverse(F.array_compact(behind))
+    return F.when((F.size(runs) > 0) & (F.size(base) > 0), free).otherwise(runs)
+
+
 def long_values(text: Column, matches: Column) -> Column:
     values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
     return F.transform(values, lambda v: F.length(v) >= LEAST_VALUE)
@@ -77,12 +144,10 @@ class RatioModel:
 
 def transitions(samples: DataFrame) -> DataFrame:
     """Counts of ``before, after`` (character codes) by ``random`` over the texts ``value``."""
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.length("value")),
-        lambda i: F.struct(
-            F.when(i > 1, F.ascii(F.substring("value", i - 1, 1))).otherwise(0).alias("before"),
-            F.ascii(F.substring("value", i, 1)).alias("after"),
-        ),
+    codes = F.transform(F.split("value", ""), F.ascii)
+    pairs = F.arrays_zip(
+        F.concat(F.array(F.lit(0)), F.slice(codes, 1, F.size(codes) - 1)).alias("before"),
+        codes.alias("after"),
     )
     return (
         samples.filter(F.length("value") > 0)
@@ -155,17 +220,16 @@ def fit(
 
 def ratio(token: Column, table: Column) -> Column:
     """Log-likelihood ratio of a string of the alphabet's characters."""
-    places = F.sequence(F.lit(1), F.length(token))
     zero = F.struct(F.lit(0).alias("before"), F.lit(0.0).alias("sum"))
 
-    def step(state: Column, i: Column) -> Column:
-        code = F.ascii(F.substring(token, i, 1))
+    def step(state: Column, character: Column) -> Column:
+        code = F.ascii(character)
         return F.struct(
             code.alias("before"),
             (state["sum"] + F.get(table, state["before"] * SIZE + code)).alias("sum"),
         )
 
-    return F.aggregate(places, zero, step, lambda state: state["sum"])
+    return F.aggregate(F.split(token, ""), zero, step, lambda state: state["sum"])
 
 
 def secrets(
@@ -206,12 +270,7 @@ def secrets(
     rows = rows.select(
         "doc_id", base.alias("base"), spans_of(text, CANDIDATE, 3, unlike_words).alias("runs")
     )
-    free = F.filter(
-        "runs",
-        lambda r: ~F.exists(
-            "base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])
-        ),
-    )
+    free = apart(F.col("runs"), F.col("base"))
     return rows.select("doc_id", "base", free.alias("added"))
 
 

@@ -22,8 +22,9 @@ from entiva.llm.words import hashed, in_blocks, located
 
 WORDS, GRAMS = 1 << 14, 1 << 14
 INPUT, STATE, ATTENTION = 16, 12, 8
-#: Words of a window and words from one window's start to the next one's.
-WIDTH, STRIDE = 48, 40
+#: Words of a window and words from one window's start to the next one's: passages of up to 24
+#: words stand whole in a window wherever they begin.
+WIDTH, STRIDE = 48, 24
 GRAM = 4
 
 _lower = np.arange(256, dtype=np.uint32)
@@ -326,7 +327,8 @@ def fit(
     found = (
         texts.filter("text is not null")
         .join(F.broadcast(chosen), "id")  # sample_documents rows per label
-        .select("label", "n", cut.alias("text"))
+        .groupBy("label", "n")  # an id on many rows gives one text
+        .agg(F.min(cut).alias("text"))
         .collect()
     )
     found = sorted(found, key=lambda r: (r.label, r.n, r.text))
