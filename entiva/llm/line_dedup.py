@@ -1,7 +1,7 @@
-r"""Line deduplication within one edited word, by deletion neighbourhoods.
+r"""Line deduplication within one edit, by deletion neighbourhoods.
 
 Two lines are within the bound if one becomes the other by replacing, inserting or deleting
-one word. Every line emits the hashes of all its variants with one word left out, and lines
+one word; in scripts written without blanks, one character. Every line emits the hashes of all its variants with one word left out, and lines
 that share a variant at the same place (a replacement), or of which one is the other's variant
 (an insertion), are compared word by word. A key keeps its earliest line only, so thousands of
 lines from one template cost one entry each and no pairs.
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from entiva.llm.common import attach, text_or_empty
+from entiva.llm.common import BLANKS, attach, text_or_empty
 from entiva.session import Workspace
 
 LINE = ["k1", "k2"]
@@ -38,10 +38,28 @@ def lines_of(documents: DataFrame, id_column: str, text_column: str) -> DataFram
 
 def single_spaced(line: Column) -> Column:
     """The words of a line joined by one space; most lines are so already."""
-    odd = line.rlike(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$")
+    odd = F.contains(line, F.lit("  ")) | line.startswith(" ") | line.endswith(" ")
+    for blank in BLANKS.replace(" ", "").replace("\n", ""):
+        odd = odd | F.contains(line, F.lit(blank))
     return F.when(odd, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
 
 
+def with_units(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``words``, the units that edits are counted in, their number ``n`` and
+    ``by_character``: whether the single-spaced ``text`` is cut into characters.
+
+    It is where most characters take three bytes, as Chinese, Japanese and Thai ones do, and
+    there is less than one blank in twelve characters.
+    """
+    text = F.col("text")
+    by_character = (F.octet_length(text) * 2 > F.length(text) * 5) & (
+        F.length(text) > 12 * F.regexp_count(text, F.lit(" ")) + 12
+    )
+    marked = lines.withColumn("by_character", by_character)
+    words = F.when(F.col("by_character"), F.split("text", "")).otherwise(F.split("text", " "))
+    return marked.withColumn("words", words).withColumn("n", F.size("words"))
+
+
 def part_keys(words: Column, n: Column, parts: int) -> Column:
     """Hashes of all but one of ``parts`` parts, for each part, as a line of ``n`` words and as
     one of one word less. Two lines within one edit of each other share one of them."""
@@ -63,27 +81,28 @@ def sharing(lines: DataFrame, keys: str) -> DataFrame:
     return each.join(shared.select("key"), "key", "left_semi").select("line").distinct()
 
 
-#: A sieve of so many buckets of 63 bits is broadcast; its size does not depend on the data.
-BUCKETS = 1 << 17
-BIT = "shiftleft(1L, cast(pmod(shiftright(xxhash64(line), 20), 63) as int))"
+#: A sieve has one to this many buckets of 63 bits, so what is broadcast is bounded.
+MOST_BUCKETS = 1 << 20
+BIT = "shiftleft(1L, cast(pmod(shiftright(xxhash64(line), 24), 63) as int))"
 
 
-def sieve(lines: DataFrame) -> DataFrame:
-    """Which bits of which bucket the hashes of the column ``line`` set."""
-    return lines.groupBy(F.expr(f"pmod(xxhash64(line), {BUCKETS})").alias("bucket")).agg(
-        F.expr(f"bit_or({BIT})").alias("bits")
-    )
-
+def sifted(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``line`` is among the distinct ones of ``lines``.
 
-def sifted(rows: DataFrame, bits: DataFrame) -> DataFrame:
-    """Rows whose ``line`` may be among those of the sieve; it lets a few others pass, and the
-    more the fuller it is, so an exact join follows."""
-    bucketed = rows.withColumn("bucket", F.expr(f"pmod(xxhash64(line), {BUCKETS})"))
-    return (
-        bucketed.join(F.broadcast(bits), "bucket")
+    A sieve of the lines' hashes, eight bits a line up to the bound, leaves out most other rows
+    before the exact join; a fuller one leaves out fewer.
+    """
+    buckets = min(MOST_BUCKETS, 1 << (lines.count() // 8).bit_length())
+    bucket = F.expr(f"pmod(xxhash64(line), {buckets})")
+    bits = lines.groupBy(bucket.alias("bucket")).agg(F.expr(f"bit_or({BIT})").alias("bits"))
+    passed = (
+        rows.withColumn("bucket", bucket)
+        .join(F.broadcast(bits), "bucket")
         .filter(f"bits & {BIT} <> 0")
         .drop("bucket", "bits")
     )
+    # no semi join: that one would be moved ahead of the sieve
+    return passed.join(lines, "line")
 
 
 def place_of(rows: DataFrame) -> Column:
@@ -134,41 +153,34 @@ def repeated_lines(
     documents: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    least_words: int = 4,
     least_near_words: int = 8,
+    least_near_characters: int = 16,
     workspace: Workspace | None = None,
 ) -> DataFrame:
     """``doc_id, line_no, near``, one row for each line that an earlier line makes redundant.
 
     Lines are compared by their words, whatever the white space between them; order is by id,
-    then line. Lines with fewer than ``least_words`` words always stay, those with fewer
-    than ``least_near_words`` go only for an equal one, longer ones also for one within one
-    edited word (``near`` true). The earlier line need not stay itself. Null and empty texts
-    have no such lines; rows with a null id are left alone; of repeated rows with one id,
-    lines count once. An empty table gives no rows; other columns are ignored.
+    then line. A line goes for an equal one, whatever its length, and one of ``least_near_words``
+    words or more also for one within one edited word (``near`` true). Lines in a script without
+    blanks (see :func:`with_units`) are compared by characters, and need
+    ``least_near_characters``; near are only lines of one kind. The earlier line need not
+    stay itself. Blank lines stay, so null and empty texts lose none; rows with a null id
+    are left alone; of repeated rows with one id, lines count once. An empty table gives no
+    rows; other columns are ignored.
     """
     workspace = workspace or Workspace(documents.sparkSession)
     all_lines = lines_of(documents, id_column, text_column)
-    keyed = (
-        all_lines.select("doc_id", "line_no", single_spaced(F.col("line")).alias("text"))
-        .select(
+    least = F.when(F.col("by_character"), least_near_characters).otherwise(least_near_words)
+    spaced = all_lines.select("doc_id", "line_no", single_spaced(F.col("line")).alias("text"))
+    rows = workspace.keep(
+        with_units(spaced.filter("text <> ''")).select(
             "doc_id",
             "line_no",
             F.xxhash64("text").alias("k1"),
             F.xxhash64(F.lit("second"), "text").alias("k2"),
-            F.split("text", " ").alias("words"),
-        )
-        .withColumn("n", F.size("words"))
-        .filter(F.col("n") >= least_words)
-    )
-    rows = workspace.keep(
-        keyed.select(
-            "doc_id",
-            "line_no",
-            *LINE,
-            F.when(
-                F.col("n") >= least_near_words - 1, part_keys(F.col("words"), F.col("n"), 2)
-            ).alias("halves"),
+            F.when(F.col("n") >= least - 1, part_keys(F.col("words"), F.col("n"), 2)).alias(
+                "halves"
+            ),
         ),
         "line_keys",
     )
@@ -183,21 +195,21 @@ def repeated_lines(
     )
     # First those that share a half with another text, then, of these, seven eighths.
     halved = workspace.keep(sharing(texts.filter("halves is not null"), "halves"), "halved")
-    with_place = sifted(
-        all_lines.select(place.alias("line"), F.col("line").alias("text")), sieve(halved)
-    )
+    with_place = sifted(all_lines.select(place.alias("line"), F.col("line").alias("text")), halved)
+    units = with_units(with_place.select("line", single_spaced(F.col("text")).alias("text")))
     half_words = workspace.keep(
-        with_place.join(halved, "line", "left_semi")
-        .select("line", F.split(single_spaced(F.col("text")), " ").alias("words"))
-        .select("line", F.size("words").alias("n"), "words"),
+        units.dropDuplicates(["line"]).select(
+            "line",
+            "n",
+            least.alias("least"),
+            "words",
+            part_keys(F.col("words"), F.col("n"), 8).alias("eighths"),
+        ),
         "half_words",
-    ).dropDuplicates(["line"])
-    eighths = part_keys(F.col("words"), F.col("n"), 8)
-    suspects = workspace.keep(
-        sharing(half_words.select("line", eighths.alias("eighths")), "eighths"), "suspects"
     )
+    suspects = workspace.keep(sharing(half_words, "eighths"), "suspects")
     own_words = workspace.keep(
-        half_words.join(suspects, "line", "left_semi"), "suspect_words"
+        half_words.drop("eighths").join(suspects, "line", "left_semi"), "suspect_words"
     )
     keys = workspace.keep(variants(own_words), "variants")
     # replacements share a place; an insertion is a line that is another's variant
@@ -233,10 +245,12 @@ def repeated_lines(
         F.size(one) == F.size(two), F.size(F.filter(matching, lambda same: ~same)) <= 1
     ).otherwise(without == shorter)
     near = (
-        candidates.join(own_words.select("line", "words"), "line")
-        .join(own_words.select(F.col("line").alias("other"), one.alias("other_words")), "other")
-        .filter(F.least(F.size(one), F.size(two)) >= least_near_words - 1)
-        .filter(F.greatest(F.size(one), F.size(two)) >= least_near_words)
+        candidates.join(own_words.select("line", "words", "least"), "line")
+        .join(
+            own_words.select(F.col("line").alias("other"), one.alias("other_words"), "least"),
+            ["other", "least"],
+        )
+        .filter(F.greatest(F.size(one), F.size(two)) >= F.col("least"))
         .filter(within)
         .select("line")
         .distinct()
@@ -268,16 +282,15 @@ def without_repeated_lines(
     See :func:`repeated_lines`. A null text stays null.
     """
     gone = repeated_lines(documents, id_column, text_column, workspace=workspace, **parameters)
-    lists = gone.groupBy(F.col("doc_id").alias("of_id")).agg(
-        F.collect_set("line_no").alias("gone_lines")
-    )
-    kept = F.filter(
-        F.split(text_column, "\n"), lambda line, i: ~F.array_contains("gone_lines", i)
-    )
-    text = F.when(F.col("gone_lines").isNull(), F.col(text_column)).otherwise(
-        F.array_join(kept, "\n")
+    of_id, numbers = "of_id", "gone_lines"
+    while {of_id, numbers} & {c.lower() for c in documents.columns}:
+        of_id, numbers = of_id + "_", numbers + "_"
+    lists = gone.groupBy(F.col("doc_id").alias(of_id)).agg(
+        F.collect_set("line_no").alias(numbers)
     )
-    joined = documents.join(lists, documents[id_column] == F.col("of_id"), "left")
+    kept = F.filter(F.split(text_column, "\n"), lambda _, i: ~F.array_contains(numbers, i))
+    text = F.when(F.col(numbers).isNull(), F.col(text_column)).otherwise(F.array_join(kept, "\n"))
+    joined = documents.join(lists, documents[id_column] == F.col(of_id), "left")
     return joined.withColumn(text_column, text).select(*documents.columns)
 
 

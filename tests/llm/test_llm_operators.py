@@ -475,30 +475,35 @@ def test_circulant_signatures_estimate_similarity():
 # lines ---------------------------------------------------------------------------------
 
 
+def units_of(line):
+    words = WORD.findall(line)
+    text = " ".join(words)
+    if len(text.encode()) * 2 > len(text) * 5 and len(text) > 12 * text.count(" ") + 12:
+        return 16, tuple(text)
+    return 8, tuple(words)
+
+
 def brute_lines(rows):
     seen, halves, whole, left_out = set(), set(), set(), set()
     gone = {}
     for doc_id, text in sorted(rows):
         for no, line in enumerate((text or "").split("\n")):
-            w = tuple(WORD.findall(line))
+            least, w = units_of(line)
             n = len(w)
-            if n < 4:
+            if n == 0:
                 continue
-            cuts = [(k, w[:k] + w[k + 1 :]) for k in range(n)]
             if w in seen:
                 gone[doc_id, no] = False
                 continue
             seen.add(w)
-            near = n >= 8 and (
-                any(c in halves for c in cuts) or any(c[1] in whole for c in cuts)
-            )
-            if near or (n >= 7 and w in left_out):
+            cuts = [(least, k, w[:k] + w[k + 1 :]) for k in range(n)] if n >= least else []
+            near = any(c in halves for c in cuts) or any((least, c[2]) in whole for c in cuts)
+            if near or (n >= least - 1 and (least, w) in left_out):
                 gone[doc_id, no] = True
-            if n >= 7:
-                whole.add(w)
-            if n >= 8:
-                halves.update(cuts)
-                left_out.update(c[1] for c in cuts)
+            if n >= least - 1:
+                whole.add((least, w))
+            halves.update(cuts)
+            left_out.update((least, c[2]) for c in cuts)
     return gone
 
 
@@ -515,7 +520,10 @@ def test_repeated_lines_equal_brute_force(spark, documents, workspace):
             words.insert(at, f"new{draw.randrange(5)}")
         elif kind == 2:
             del words[at]
-        rows.append((1000 + i, "\n".join([f"only {i} here now", "  ".join(words), "x"])))
+        signs = [chr(0x3042 + k) for k in range(draw.choice((15, 16, 30)))]
+        signs[draw.randrange(len(signs)) : draw.randrange(len(signs))] = "。"
+        own = [f"only {i} here now", "  ".join(words), "x", "Read more", "".join(signs)]
+        rows.append((1000 + i, "\n".join(own)))
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     gone = line_dedup.repeated_lines(frame, workspace=workspace)
     expected = brute_lines(rows)
@@ -536,6 +544,24 @@ def test_repeated_lines_odd_rows(odd, workspace):
     assert line_dedup.repeated_lines(odd.limit(0), workspace=workspace).count() == 0
 
 
+def test_short_lines_lines_without_blanks_and_clashing_names(spark, workspace):
+    sentence = "吾輩は猫である。名前はまだ無い。どこで生れたか頓と見当がつかぬ。"
+    other = "恥の多い生涯を送って来ました。自分には、人間の生活が見当つかない。"
+    rows = [
+        (1, f"Read more\n{sentence}\nAll rights reserved\n\nhttps://example.org/a/long/page/1"),
+        (2, f"{sentence}\nRead  more\n{other}\n\nhttps://example.org/a/long/page/2"),
+        (3, f"{sentence.replace('猫', '犬')}\n All rights reserved\nkeep"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "7 as of_id", "8 as gone_lines", "9 as of_id_", "'n' as by_character"
+    )
+    kept = by_id(line_dedup.without_repeated_lines(frame, workspace=workspace))
+    assert kept[1].text == rows[0][1]
+    assert kept[2].text == f"{other}\n\nhttps://example.org/a/long/page/2"
+    assert kept[3].text == "keep"
+    assert (kept[3].of_id, kept[3].gone_lines, kept[3].of_id_) == (7, 8, 9)
+
+
 # pages ---------------------------------------------------------------------------------
 
 PARAGRAPH = "This is a sentence, with commas, long enough to count as real text of the page."
