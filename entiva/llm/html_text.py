@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -72,10 +73,11 @@ ENDED_BY = {
 #: An end is not looked for beyond these.
 SCOPES = frozenset("html body table ul ol dl article section div main nav aside footer".split())
 
-_tag = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""",
-    re.DOTALL,
-)
+LISTS = ("ul", "ol", "dl", "table")
+
+_name = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+#: The rest of a tag: quoted values may hold its closing sign. Nothing is tried twice.
+_rest = re.compile(r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _attribute = re.compile(
     r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?"""
 )
@@ -84,7 +86,7 @@ _attribute = re.compile(
 class Node:
     __slots__ = (
         "tag", "parent", "parts", "names", "out", "score", "chars", "linked", "commas", "prose",
-        "spared",
+        "spared", "wraps",
     )
 
     def __init__(self, tag: str, parent: Node | None):
@@ -96,6 +98,44 @@ class Node:
         self.score = 0.0
         self.chars = self.linked = self.commas = self.prose = 0
         self.spared = False
+        self.wraps = False
+
+
+def tags(source: str) -> Iterator[tuple[int, int, bool, str | None, str]]:
+    """``start, end, closes, name, attributes`` of each tag in page order; comments and
+    declarations have no name. Who iterates sends the place to go on from, or None.
+
+    From the first tag on that no sign closes outside quotes, quotes do not count: a broken
+    one then spoils a tag, not the page, and nothing is searched again and again.
+    """
+    position, quotes = 0, True
+    while (start := source.find("<", position)) >= 0:
+        if source.startswith("<!--", start):
+            close = source.find("-->", start + 4)
+            end = close + 3 if close >= 0 else len(source)
+            found = (start, end, False, None, "")
+        elif source.startswith(("<!", "<?"), start):
+            close = source.find(">", start)
+            if close < 0:
+                return
+            end = close + 1
+            found = (start, end, False, None, "")
+        elif opening := _name.match(source, start):
+            rest = _rest.match(source, opening.end()) if quotes else None
+            if rest is None:
+                quotes = False
+                close = source.find(">", opening.end())
+                if close < 0:
+                    return
+                end, attributes = close + 1, source[opening.end() : close]
+            else:
+                end, attributes = rest.end(), rest[1]
+            found = (start, end, bool(opening[1]), opening[2].lower(), attributes)
+        else:
+            position = start + 1
+            continue
+        moved = yield found
+        position = end if moved is None else moved
 
 
 def parse(source: str) -> tuple[Node, list[Node]]:
@@ -103,52 +143,64 @@ def parse(source: str) -> tuple[Node, list[Node]]:
     root = Node("html", None)
     nodes = [root]
     open_ = [root]
+    names = Counter()  # of the open elements
+    endless: set[str] = set()  # raw elements that nothing ends from here on
     at = 0
-    position = 0
-    while True:
-        match = _tag.search(source, position)
-        if match is None:
-            break
-        start = match.start()
+    scan = tags(source)
+    found = next(scan, None)
+
+    def close(depth: int) -> None:
+        names.subtract(one.tag for one in open_[depth:])
+        del open_[depth:]
+
+    while found is not None:
+        start, end, closes, tag, attributes = found
+        moved = None
         if start > at:
             open_[-1].parts.append(source[at:start])
-        at = position = match.end()
-        tag = match[2]
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if match[1]:
-            for depth in range(len(open_) - 1, 0, -1):
+        at = end
+        if tag is None or (tag == "html" and not closes and len(open_) == 1):
+            pass
+        elif closes:
+            for depth in range(len(open_) - 1, 0, -1) if names[tag] > 0 else ():
                 if open_[depth].tag == tag:
-                    del open_[depth:]
+                    close(depth)
                     break
                 if open_[depth].tag in SCOPES and tag not in SCOPES:
                     break
-            continue
-        if tag in ("html", "body") and len(open_) == 1 and tag == "html":
-            continue
-        if tag in BLOCKS and tag != "br":
-            ended = ENDED_BY.get(tag, frozenset()) | {"p"}
-            for depth in range(len(open_) - 1, 0, -1):
-                if open_[depth].tag in ended:
-                    del open_[depth:]
-                elif open_[depth].tag in SCOPES:
-                    break
-        node = Node(tag, open_[-1])
-        open_[-1].parts.append(node)
-        nodes.append(node)
-        if match[3]:
-            describe(node, match[3])
-        if tag in VOID:
-            continue
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(source, at)
-            if end is None and tag in ("title", "textarea", "iframe"):
-                continue
-            at = position = end.end() if end else len(source)
-            continue
-        if not match[3].endswith("/") or tag in BLOCKS or tag == "a":
-            open_.append(node)
+        else:
+            if tag in BLOCKS and tag != "br":
+                ended = ENDED_BY.get(tag, frozenset()) | {"p"}
+                if any(names[one] > 0 for one in ended):
+                    for depth in range(len(open_) - 1, 0, -1):
+                        if open_[depth].tag in ended:
+                            close(depth)
+                        elif open_[depth].tag in SCOPES:
+                            break
+            node = Node(tag, open_[-1])
+            open_[-1].parts.append(node)
+            nodes.append(node)
+            if attributes:
+                describe(node, attributes)
+            if tag in RAW:
+                over = None
+                if tag not in endless:
+                    over = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(source, at)
+                if over is not None:
+                    at = moved = over.end()
+                elif tag in ("title", "textarea", "iframe"):
+                    endless.add(tag)
+                else:
+                    at = moved = len(source)
+            elif tag not in VOID and (
+                not attributes.endswith("/") or tag in BLOCKS or tag == "a"
+            ):
+                open_.append(node)
+                names[tag] += 1
+        try:
+            found = scan.send(moved)
+        except StopIteration:
+            found = None
     if at < len(source):
         open_[-1].parts.append(source[at:])
     return root, nodes
@@ -183,22 +235,15 @@ def is_out(node: Node) -> bool:
 
 
 def out_by_kind(node: Node) -> bool:
-    return node.out or node.tag in DROPPED or node.tag == "header"
+    return node.out or (node.tag in DROPPED and not node.wraps) or node.tag == "header"
 
 
-def spare(nodes: list[Node]) -> None:
-    """Mark elements whose name must not decide, as the page's main text is in them.
-
-    These hold the longest article or, on a page without articles, most of the paragraph text.
-    Cards of a quarter of the text at most are no such article. Text under comment, reply and
-    share names does not count, and such elements stay only for the longest article, if it is
-    most of the text, or if there is no other text.
-    """
-    if not any(one.names and _bad.search(one.names) for one in nodes):
-        return
+def count_prose(nodes: list[Node]) -> int:
+    """Characters of paragraph text in every element, and in all; what is out by kind or stands
+    in a link does not count, nor do parts under comment, reply and share names."""
     for one in reversed(nodes):
+        one.prose = 0
         if out_by_kind(one) or one.tag == "a":
-            one.prose = 0
             continue
         for part in one.parts:
             if isinstance(part, str):
@@ -207,7 +252,33 @@ def spare(nodes: list[Node]) -> None:
                     one.prose += len(text)
             elif not (part.names and _strong.search(part.names)):
                 one.prose += part.prose
-    total = nodes[0].prose
+    return nodes[0].prose
+
+
+def keep_wrapping_forms(nodes: list[Node]) -> None:
+    """Mark forms that hold most of the page's paragraph text: they wrap the page, as some
+    servers do with every page, and are no form of it."""
+    forms = [one for one in nodes if one.tag == "form"]
+    if not forms:
+        return
+    for one in forms:
+        one.wraps = True
+    total = count_prose(nodes)
+    for one in forms:
+        one.wraps = one.prose > 0.5 * total
+
+
+def spare(nodes: list[Node]) -> None:
+    """Mark elements whose name must not decide, as the page's main text is in them.
+
+    These hold the longest article or, on a page without articles, most of the paragraph text.
+    Cards of a quarter of the text at most are no such article. Text under comment, reply and
+    share names does not count, and such elements stay only for the longest article, if it is
+    most of the text, or if there is no other text.
+    """
+    if not any(one.names and _bad.search(one.names) for one in nodes):
+        return
+    total = count_prose(nodes)
     gone: set[int] = set()  # what stands in an element that is out whatever its name
     lead: Node | None = None
     for one in nodes:
@@ -237,6 +308,7 @@ def spare(nodes: list[Node]) -> None:
 
 def measure(node: Node, nodes: list[Node]) -> None:
     """Characters, characters in links and commas of every element, those left out aside."""
+    keep_wrapping_forms(nodes)
     spare(nodes)
     for one in nodes:
         one.out = is_out(one) or (one.parent is not None and one.parent.out)
@@ -340,6 +412,7 @@ def _inside(node: Node, tags: tuple[str, ...]) -> bool:
 def blocks(node: Node, found: list[str]) -> None:
     """Append the text of ``node`` block by block; inline elements do not part words."""
     run: list[str] = []
+    whole = node.tag in ("article", "main") or _inside(node, ("article", "main"))
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(run)).split())
@@ -360,8 +433,8 @@ def blocks(node: Node, found: list[str]) -> None:
             elif part.out:
                 if part.tag in BLOCKS:
                     flush()
-            elif part.tag in ("ul", "ol", "dl", "table") and part.chars and density(part) > 0.6:
-                flush()  # a list of links inside the article is a menu
+            elif part.tag in LISTS and not whole and part.chars and density(part) > 0.6:
+                flush()  # a list of links is a menu, but for one in an article
             else:
                 stack.append((current, i))
                 stack.append((part, 0))

@@ -8,7 +8,7 @@ import time
 
 import pytest
 
-from entiva.llm import elias_fano, secrets
+from entiva.llm import elias_fano, html_text, secrets
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 
@@ -98,3 +98,41 @@ def test_file_names_with_one_slash(tmp_path):
     for prefix in ("", "file:", "file://"):
         assert elias_fano.on_disk(f"{prefix}{tmp_path}/a") == f"{tmp_path}/a"
     assert elias_fano.on_disk("s3://b/a") == "s3://b/a"
+
+
+SENTENCE = "This is a sentence, with commas, long enough to count as real text of the page."
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<a href='x ", "<a '>' ", "<textarea>", "<!x ", "<b>", "<b><p>", "<i></b>", "<a \"'>", "< <"],
+)
+def test_broken_pages_of_a_megabyte(piece):
+    start = time.time()
+    html_text.main_text(f"<p>{SENTENCE}</p>" + piece * (1_000_000 // len(piece)))
+    assert time.time() - start < 10
+
+
+def test_a_stray_quote_spoils_its_tag_only():
+    page = f"<p>{SENTENCE}</p><p class='a title=b>{SENTENCE}</p><nav>menu</nav><p>{SENTENCE}</p>"
+    assert html_text.main_text(page) == " ".join([SENTENCE] * 3)
+
+
+def test_forms_that_wrap_the_page_and_lists_of_links_in_the_article():
+    article = f"<article><h1>Head</h1><p>{SENTENCE}</p><ul><li><a href=a>One item</a><li>" \
+        f"<a href=b>Two items</a></ul></article>"
+    expected = f"Head {SENTENCE} One item Two items"
+    menu = "<div id=menu><a href=/>Home</a></div><ul><li><a href=a>a</a></ul>"
+    assert html_text.main_text(f"<body>{article}</body>") == expected
+    assert html_text.main_text(f"<body><form>{menu}{article}</form></body>") == expected
+    body = f"<form>{menu}<div id=c><h1>Head</h1><p>{SENTENCE}</p><p>{SENTENCE}</p></div></form>"
+    assert html_text.main_text(body) == f"Head {SENTENCE} {SENTENCE}"
+    box = "<form><p>Your name, please</p><input></form>"
+    assert html_text.main_text(f"<body>{article}{box}</body>") == expected
+
+
+def test_pages_on_repeated_rows(spark):
+    rows = [(1, "u", f"<p>{SENTENCE}</p>")] * 2 + [(None, None, None)] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = sorted((r.page_id or 0, r.text, r.n_chars) for r in html_text.extract(pages).collect())
+    assert found == [(0, "", 0)] * 2 + [(1, SENTENCE, len(SENTENCE))] * 2
