@@ -24,7 +24,7 @@ UNKNOWN = "und"
 
 @dataclass
 class LanguageModel:
-    """Dictionaries by language, of one size for all languages."""
+    """Dictionaries by language, of one size but for languages with little text."""
 
     dictionaries: dict[str, list[bytes]] = field(default_factory=dict)
     level: int = 5
@@ -41,14 +41,16 @@ def fit(
     sample_chars: int = 2_000,
     dictionary_bytes: int = 64_000,
     dictionaries: int = 3,
+    enough: float = 0.25,
     most_languages: int = 200,
 ) -> LanguageModel:
     """Learn from rows that meet ``training`` and have a language and a letter.
 
     The sample is bounded: per language the ``sample_documents`` rows of lowest id hash, of
-    each at most ``sample_chars`` characters. All languages get dictionaries of the same size,
-    that of the language with the least text, so that none wins by having more. More than
-    ``most_languages`` languages are an error. Without any training row the model is empty.
+    each at most ``sample_chars`` characters. Languages get dictionaries of one size, so that
+    none wins by having more: that of the language with the least text of those with at least
+    ``enough`` of the most. A language with less than that has smaller ones, of all its text, and
+    costs the others nothing. More than ``most_languages`` languages are an error. Without any training row the model is empty.
     """
     rows = documents.select(
         F.col(id_column).alias("id"),
@@ -88,7 +90,8 @@ def fit(
     for lang, own in texts.items():
         whole = [letters(t).encode() for _, t in sorted(own)]
         joined[lang] = [b"\n".join(whole[i::dictionaries]) for i in range(dictionaries)]
-    size = min(dictionary_bytes, *(max(len(b) for b in bs) for bs in joined.values()))
+    most = [max(len(b) for b in parts) for parts in joined.values()]
+    size = min(dictionary_bytes, *(m for m in most if m >= enough * max(most)))
     size = max(size, 256)
     for lang, parts in sorted(joined.items()):
         model.dictionaries[lang] = [p[-size:] for p in parts if p] or [b" "]
@@ -130,11 +133,7 @@ class Compressors:
             self.compress.append(own)
 
     def sizes(self, text: str) -> np.ndarray:
-        """Bytes per language.
-
-        A text of one block, where a byte matters, is compressed with all dictionaries of a
-        language and the mean counts; a longer one with the first.
-        """
+        """Bytes per language, the mean of its dictionaries."""
         step = self.model.block_chars
         text = letters(text).strip()
         if len(text) < 100:
@@ -143,8 +142,7 @@ class Compressors:
         blocks = [text[i : i + step].encode() for i in range(0, len(text), step)]
         found = []
         for own in self.compress:
-            used = own if len(blocks) == 1 else own[:1]
-            found.append(sum([len(c(b)) for c in used for b in blocks]) / len(used))
+            found.append(sum([len(c(b)) for c in own for b in blocks]) / len(own))
         return np.array(found)
 
 
@@ -153,7 +151,7 @@ def predict(
     model: LanguageModel,
     id_column: str = "doc_id",
     text_column: str = "text",
-    least_margin: float = 0.001,
+    least_margin: float = 0.01,
 ) -> DataFrame:
     """``doc_id, lang_pred, score, margin, rejected`` of every row; nothing is shuffled.
 
