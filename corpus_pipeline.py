@@ -14,33 +14,39 @@ from entiva.llm.common import fold, table, text_or_empty
 from entiva.llm.queries import bpe_path
 from entiva.session import Workspace
 
-#: Name of the key that tells rows apart where ids are repeated or missing.
-KEY = "pipeline_row_key"
+def key_name(docs: DataFrame) -> str:
+    """Name of the key that tells rows apart where ids are repeated or missing; no column's."""
+    name = "pipeline_row_key"
+    while name in [c.lower() for c in docs.columns]:
+        name += "_"
+    return name
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is certain; texts without a letter and narrow leads go."""
     model = language.fit(docs, training=fold("doc_id", 4) != 2)
-    return _without(docs, language.predict(_keyed(docs), model, id_column=KEY).filter("rejected"))
+    found = language.predict(_keyed(docs), model, id_column=key_name(docs))
+    return _without(docs, found.filter("rejected"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = exact_dedup.exact_groups(_keyed(docs), id_column=KEY)
+    key = key_name(docs)
+    groups = exact_dedup.exact_groups(_keyed(docs), id_column=key)
     kept = _keyed(_without(docs, groups.filter("not kept")))
     # rows with one id and one text share a key, so a verdict; one of them stays
-    repeated = kept.groupBy(KEY).count().filter("count > 1").select(KEY)
-    once = kept.join(repeated, KEY, "left_semi").dropDuplicates([KEY])
-    return kept.join(repeated, KEY, "left_anti").unionByName(once).select(*docs.columns)
+    repeated = kept.groupBy(key).agg(F.count("*").alias("rows")).filter("rows > 1").select(key)
+    once = kept.join(repeated, key, "left_semi").dropDuplicates([key])
+    return kept.join(repeated, key, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_dedup.near_groups(_keyed(docs), id_column=KEY)
+    groups = near_dedup.near_groups(_keyed(docs), id_column=key_name(docs))
     return _without(docs, groups.filter("not kept"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark")
-    return _without(docs, decontaminate.contaminated(_keyed(docs), items, id_column=KEY))
+    return _without(docs, decontaminate.contaminated(_keyed(docs), items, id_column=key_name(docs)))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +57,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     """The documents with a key of id and text, in the order of ids, null ones last."""
     text = text_or_empty("text")
     return docs.withColumn(
-        KEY,
+        key_name(docs),
         F.struct(
             F.col("doc_id").isNull().alias("no_id"),
             F.col("doc_id"),
@@ -63,8 +69,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """All columns of the documents whose key is no ``doc_id`` of ``gone``."""
-    keys = gone.select(F.col("doc_id").alias(KEY)).distinct()
-    return _keyed(docs).join(keys, KEY, "left_anti").select(*docs.columns)
+    key = key_name(docs)
+    keys = gone.select(F.col("doc_id").alias(key)).distinct()
+    return _keyed(docs).join(keys, key, "left_anti").select(*docs.columns)
 
 
 STAGES = [
