@@ -23,3 +23,10 @@ def test_stages_tell_rows_of_one_id_apart(spark):
     near = stay("near_dedup", spark.createDataFrame([rows[i] for i in (3, 7, 8, 9)], frame.schema))
     assert len(near) == 3 and rows[3] in near and rows[9] in near
     assert stay("decontamination", spark.createDataFrame(rows[10:], frame.schema)) == [rows[11]]
+
+
+def test_stages_keep_a_column_with_the_name_of_the_key(spark):
+    rows = [(1, "one text here", "a"), (2, "one text here", "b"), (3, "another text", "c")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, pipeline_row_key string")
+    kept = corpus_pipeline.drop_exact_copies(spark, frame, "/root/testdata/sf0.001")
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
