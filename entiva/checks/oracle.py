@@ -67,16 +67,26 @@ RAW_REGISTRY = f"""raw_registry as (
   from customer, (select 0 as copy union all select 1) copies
   where copy = 0 or c_custkey % 50 = 0)"""
 
+_CONTESTED = f"""raw_registry as (
+  select * from listed_registry
+  union all
+  select 'RIVAL', '0', {institution("c_custkey", "1")} || 'Z' from customer
+  where c_custkey % 22 = 14 or c_custkey % 9 = 4)"""
+
 _TOTAL = text("o_orderkey % 7 + o_orderkey % 5 + o_orderkey % 3")
-RAW_COMPLAINTS = f"""raw_complaints as (
+_CUT_SHORT = "case o_custkey % 11 when 3 then 1 when 5 then 3 else 0 end"
+_CUT_FURTHER = f"case when o_custkey % 22 = 14 and o_orderkey % 2 = 0 then 2 else {_CUT_SHORT} end"
+
+
+def _raw_complaints(dropped: str) -> str:
+    return f"""raw_complaints as (
   select {text("year(o_orderdate)")} as ano,
     {text("quarter(o_orderdate)")} as trimestre,
     o_orderpriority as categoria,
     o_orderstatus as tipo,
     case when o_custkey % 2 = 0 then ' ' else lpad({text("o_custkey")}, 8, '0') end as cnpj_if,
     (case o_custkey when 10 then 'BB' when 12 then 'Itaú' else
-      {institution("o_custkey",
-                   "case o_custkey % 11 when 3 then 1 when 5 then 3 else 0 end")} end)
+      {institution("o_custkey", dropped)} end)
       || ' (conglomerado)' as instituicao_financeira,
     case when o_orderkey % 13 = 0 then ' '
       else translate(format('{{:,.2f}}', o_totalprice), ',.', '.,') end as indice,
@@ -91,6 +101,9 @@ RAW_COMPLAINTS = f"""raw_complaints as (
     {text("o_orderkey % 17")} as qtd_clientes_scr
   from orders)"""
 
+
+RAW_COMPLAINTS = _raw_complaints(_CUT_SHORT)
+
 _PROFILE = ",\n    ".join(
     f"'{c} ' || {text('s_suppkey')} as {c}" for c in REVIEW_PROFILE_COLUMNS
 )
@@ -121,18 +134,18 @@ raw_reviews as (
   select {", ".join(c if c != "segmento" else "null as segmento" for c in REVIEW_COLUMNS)},
     'match_less' as origem from all_reviews where s_suppkey % 5 = 0 or s_suppkey % 20 = 1)"""
 
-REGISTRY = f"""{RAW_REGISTRY},
-registry as (
+TRUSTED_REGISTRY = f"""registry as (
   select "Segmento" as segmento, "CNPJ" as cnpj, "Nome" as nome,
     {norm_name('"Nome"')} as nome_norm, {norm_id('"CNPJ"')} as cnpj_norm
   from raw_registry)"""
+REGISTRY = f"{RAW_REGISTRY}, {TRUSTED_REGISTRY}"
 
 _TYPED = {c: as_long(c) for c in COMPLAINT_COUNTS} | {"indice": comma_number("indice")}
-COMPLAINTS = f"""{RAW_COMPLAINTS},
-complaints as (
+TRUSTED_COMPLAINTS = f"""complaints as (
   select {", ".join(f"{_TYPED[c]} as {c}" if c in _TYPED else c for c in COMPLAINT_COLUMNS)},
     {norm_name("instituicao_financeira")} as nome_norm, {norm_id("cnpj_if")} as cnpj_norm
   from raw_complaints)"""
+COMPLAINTS = f"{RAW_COMPLAINTS}, {TRUSTED_COMPLAINTS}"
 
 _OTHER_REVIEW = [c for c in REVIEW_COLUMNS if c not in RATING_COLUMNS]
 REVIEWS = f"""{RAW_REVIEWS},
@@ -184,8 +197,8 @@ RATINGS_BY_ID = f"""ratings_by_id as (
     order by nome_norm, {", ".join(f"{c} nulls first" for c in RATING_COLUMNS)}) = 1)"""
 
 
-def similar(left: str, right: str, cutoff: int, name: str) -> str:
-    """Best candidate per open name: equal canonical names first, then edit distance."""
+def _similar_pairs(left: str, right: str, name: str) -> str:
+    """All pairs by edit distance, those of equal canonical names before all others."""
     return f"""{name}_pairs as (
   select l.nome_norm, r.nome_norm as candidate,
     case when lc = rc then 101 else
@@ -194,14 +207,49 @@ def similar(left: str, right: str, cutoff: int, name: str) -> str:
   from (select distinct nome_norm, coalesce(canonical, nome_norm) as lc
         from {left} left join aliases on alias = nome_norm where nome_norm <> '') l,
     (select nome_norm, coalesce(canonical, nome_norm) as rc
-     from {right} left join aliases on alias = nome_norm where nome_norm <> '') r),
+     from {right} left join aliases on alias = nome_norm where nome_norm <> '') r)"""
+
+
+def similar(left: str, right: str, cutoff: int, name: str) -> str:
+    """Best candidate per open name, for names that no other wants."""
+    return f"""{_similar_pairs(left, right, name)},
 {name} as (
   select nome_norm, candidate from {name}_pairs where score >= {cutoff}
   qualify row_number() over (partition by nome_norm order by score desc, candidate) = 1)"""
 
 
+def _greedy_rounds(rounds: int, name: str = "") -> tuple[str, str]:
+    """Mutual best pairs of the table ``open0``, taken round by round, and the table of all those
+    taken; more rounds than the data needs."""
+    order = "order by score desc, tie, s, t"
+    steps = []
+    for n in range(rounds):
+        best, now, later = f"{name}best{n}", f"{name}open{n}", f"{name}open{n + 1}"
+        steps.append(f"""{best} as materialized (
+  select s, t, score from (select *, row_number() over (partition by s {order}) as of_s,
+    row_number() over (partition by t {order}) as of_t from {now}) where of_s = 1 and of_t = 1),
+{later} as materialized (
+  select * from {now} where s not in (select s from {best}) and t not in (select t from {best}))
+""")
+    return ", ".join(steps), " union all ".join(
+        f"select * from {name}best{n}" for n in range(rounds)
+    )
+
+
+def one_to_one(left: str, right: str, cutoff: int, name: str) -> str:
+    """Best pair first over all open names and candidates, each of which is given once."""
+    steps, taken = _greedy_rounds(6, f"{name}_")
+    return f"""{_similar_pairs(left, right, name)},
+{name}_open0 as materialized (
+  select nome_norm as s, candidate as t, score,
+    substr(md5(nome_norm || chr(1) || candidate), 1, 15) as tie
+  from {name}_pairs where score >= {cutoff}),
+{steps},
+{name} as (select s as nome_norm, t as candidate from ({taken}))"""
+
+
 def _master(metrics: list[str], ratings: dict[str, str], metric_ctes: str, by_name_first: bool,
-            columns: list[str]) -> str:
+            columns: list[str], sources: str = f"{REGISTRY}, {COMPLAINTS}", match=similar) -> str:
     name_join = "left join by_name n on n.nome_norm = k.nome_norm" if by_name_first else ""
     exact = [
         f"coalesce(i.{m}, n.{m}) as {m}" if by_name_first else f"i.{m} as {m}" for m in metrics
@@ -214,7 +262,7 @@ def _master(metrics: list[str], ratings: dict[str, str], metric_ctes: str, by_na
         f"case when e.geral is null then coalesce(e.{r}, v.{r}) else e.{r} end as {alias}"
         for r, alias in ratings.items()
     ]
-    return f"""with {REGISTRY}, {COMPLAINTS}, {REVIEWS}, {ALIASES}, {DEDUP}, {metric_ctes},
+    return f"""with {sources}, {REVIEWS}, {ALIASES}, {DEDUP}, {metric_ctes},
 {RATINGS_BY_ID}, {RATINGS_BY_NAME},
 exact as (
   select k.*, {", ".join(exact + rated)}
@@ -225,8 +273,8 @@ exact as (
   left join ratings_by_name rn on rn.nome_norm = k.nome_norm),
 open_metrics as (select nome_norm from exact where {metrics[0]} is null),
 open_ratings as (select nome_norm from exact where geral is null),
-{similar("open_metrics", "by_name", 80, "metric_match")},
-{similar("open_ratings", "ratings_by_name", 90, "rating_match")}
+{match("open_metrics", "by_name", 80, "metric_match")},
+{match("open_ratings", "ratings_by_name", 90, "rating_match")}
 select {", ".join(f"e.{c} as {c}" for c in columns)}, {", ".join(filled)}
 from exact e
 left join metric_match mm on mm.nome_norm = e.nome_norm
@@ -239,6 +287,14 @@ MASTER = _master(
     METRICS, FULL_RATINGS, f"{BY_ID}, {BY_NAME}", True,
     ["segmento", "cnpj", "nome", "cnpj_norm", "nome_norm"],
 )
+_LISTED = RAW_REGISTRY.replace("raw_registry", "listed_registry", 1)
+MASTER_CONTESTED = _master(
+    METRICS, FULL_RATINGS, f"{BY_ID}, {BY_NAME}", True,
+    ["segmento", "cnpj", "nome", "cnpj_norm", "nome_norm"],
+    f"{_LISTED}, {_CONTESTED}, {TRUSTED_REGISTRY}, "
+    f"{_raw_complaints(_CUT_FURTHER)}, {TRUSTED_COMPLAINTS}",
+    one_to_one,
+)
 _INDICATOR_ROW = f"""select *,
     cast(reclamacao_total as double) / nullif(total_clientes, 0) as reclamacao_indice_calculado,
     cast(total_procedentes as double) / nullif(reclamacao_total, 0) as reclamacao_pct_procedentes
@@ -330,27 +386,13 @@ scored as (select lt, rt, fail, greatest({of_texts}, 0.95::double * greatest({of
 select lt as left, rt as right, score from scored where score >= {cutoff} and fail = 0"""
 
 
-def _greedy_rounds(rounds: int) -> str:
-    """Mutual best pairs, taken round by round; more rounds than the data needs."""
-    order = "order by score desc, tie, s, t"
-    steps = []
-    for n in range(rounds):
-        steps.append(f"""best{n} as materialized (
-  select s, t, score from (select *, row_number() over (partition by s {order}) as of_s,
-    row_number() over (partition by t {order}) as of_t from open{n}) where of_s = 1 and of_t = 1),
-open{n + 1} as materialized (
-  select * from open{n} where s not in (select s from best{n}) and t not in (select t from best{n}))
-""")
-    taken = " union all ".join(f"select * from best{n}" for n in range(rounds))
-    return ", ".join(steps) + f"select s as left, t as right, score from ({taken})"
-
-
+_STEPS, _TAKEN = _greedy_rounds(12)
 ONE_TO_ONE = f"""with r as (select distinct {_CUSTOMER_NAME} as t from customer),
 l as (select distinct substr(t, 1, length(t) - 1) as s from r),
 open0 as materialized (
   select s, t, {_score("s", "t")} as score, substr(md5(s || chr(1) || t), 1, 15) as tie
   from l, r where abs(length(s) - length(t)) <= 1 and {_score("s", "t")} >= 94),
-{_greedy_rounds(12)}"""
+{_STEPS} select s as left, t as right, score from ({_TAKEN})"""
 
 SQL: dict[str, str] = {
     "src_delimited_text": f"""select {text("c_custkey")} as c_custkey, c_name, c_mktsegment
@@ -496,6 +538,7 @@ select employer_name, nome, cnpj, segmento, origem, {", ".join(RATING_COLUMNS)},
   cnpj_norm from reviews""",
     "job_trusted_complaints": f"with {COMPLAINTS} select * from complaints",
     "delivery_master_table": MASTER,
+    "delivery_contested_names": MASTER_CONTESTED,
     "delivery_indicators": INDICATOR_TABLE,
     "job_full_run": MASTER,
     "job_full_run_indicators": INDICATOR_TABLE,

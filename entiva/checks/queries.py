@@ -603,6 +603,16 @@ def delivery_master_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def delivery_contested_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several names want one: the best pair wins it, and the loser its next best."""
+    return master_table(
+        trusted_registry(standins.contested_registry(spark, sf_dir)),
+        reviews(spark, sf_dir),
+        trusted_complaints(standins.complaints(spark, sf_dir, contested=True)),
+    )
+
+
 @query
 def delivery_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicator_table(

@@ -56,10 +56,26 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*REGISTRY_SOURCE)
 
 
-def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as complaints: half of the customers without an id, some names cut short."""
+def contested_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry, and beside some institutions one without an id whose name differs in the
+    last letter: both are as near to a name that is cut short, in complaints or in reviews."""
+    key = F.col("c_custkey")
+    rivals = table(spark, sf_dir, "customer").filter((key % 22 == 14) | (key % 9 == 4))
+    return registry(spark, sf_dir).unionByName(
+        rivals.select(
+            F.lit("RIVAL").alias("Segmento"),
+            F.lit("0").alias("CNPJ"),
+            F.concat(institution(key, 1), F.lit("Z")).alias("Nome"),
+        )
+    )
+
+
+def complaints(spark: SparkSession, sf_dir: str, contested: bool = False) -> DataFrame:
+    """Orders as complaints: half of the customers without an id, some names cut short; if
+    ``contested``, some of these cut further in every other complaint."""
     order, key = F.col("o_orderkey"), F.col("o_custkey")
-    dropped = F.when(key % 11 == 3, 1).when(key % 11 == 5, 3).otherwise(0)
+    further = F.lit(contested) & (key % 22 == 14) & (order % 2 == 0)
+    dropped = F.when(further, 2).when(key % 11 == 3, 1).when(key % 11 == 5, 3).otherwise(0)
     name = F.when(key == 10, "BB").when(key == 12, "Itaú").otherwise(institution(key, dropped))
     index = F.translate(F.format_number("o_totalprice", 2), ",.", ".,")
     upheld, other, free = order % 7, order % 5, order % 3

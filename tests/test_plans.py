@@ -296,3 +296,34 @@ def test_published_reviews_reduce_to_one_row_per_name(spark):
     df = reviews(spark, [(tax_id or None, name, "3.0") for tax_id, name in rows])
     kept = dedup_by_key_priority(df)
     assert (len(rows), kept.count(), kept.select("nome_norm").distinct().count()) == (39, 37, 33)
+
+
+def test_contested_names_tell_one_to_one_from_best_per_name():
+    """The statement of the contested query, and the same with each name's best candidate."""
+    import duckdb
+
+    from entiva.checks import oracle
+
+    database = duckdb.connect()
+    for name in ("customer", "orders", "supplier"):
+        database.execute(f"create view {name} as from '/root/testdata/sf0.01/{name}.parquet'")
+    sources = (
+        f"{oracle._LISTED}, {oracle._CONTESTED}, {oracle.TRUSTED_REGISTRY}, "
+        f"{oracle._raw_complaints(oracle._CUT_FURTHER)}, {oracle.TRUSTED_COMPLAINTS}"
+    )
+    top_one = oracle._master(
+        oracle.METRICS, oracle.FULL_RATINGS, f"{oracle.BY_ID}, {oracle.BY_NAME}", True,
+        ["segmento", "cnpj", "nome", "cnpj_norm", "nome_norm"], sources,
+    )
+    other = database.execute(
+        f"select count(*) from (({oracle.MASTER_CONTESTED}) except ({top_one}))"
+    ).fetchone()[0]
+    assert other >= 50
+    ratings = ("nota_geral", "geral")
+    columns = database.execute(f"describe {oracle.MASTER_CONTESTED}").df()["column_name"].tolist()
+    rating = next(c for c in columns if any(r in c for r in ratings))
+    rated = {
+        sql: database.execute(f"select count({rating}) from ({sql})").fetchone()[0]
+        for sql in (oracle.MASTER_CONTESTED, top_one)
+    }
+    assert rated[oracle.MASTER_CONTESTED] < rated[top_one]  # a rival gets no rating twice
