@@ -103,17 +103,25 @@ def mapped(path: str) -> np.ndarray:
         return np.memmap(copy.name, np.uint8, "r")
 
 
+_EACH, _TOP = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+# place of the r-th one of a byte, at 8 * byte + r
+_in_byte = np.zeros(256 * 8, np.uint8)
+for _byte in range(256):
+    _set = [k for k in range(8) if _byte >> k & 1]
+    _in_byte[8 * _byte : 8 * _byte + len(_set)] = _set
+
+
 def _nth(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Place of the one with this rank (from 0) in each 64-bit word."""
-    place = np.zeros(len(rank), np.uint64)
-    for half in (32, 16, 8, 4, 2, 1):
-        below = np.bitwise_count(words & np.uint64((1 << half) - 1)).astype(np.uint64)
-        up = rank >= below
-        rank = rank - np.where(up, below, 0).astype(np.uint64)
-        step = np.where(up, half, 0).astype(np.uint64)
-        words = words >> step
-        place += step
-    return place.astype(np.int64)
+    # ones of each pair, nibble, byte; then of each byte and all below it
+    upto = words - (words >> np.uint64(1) & np.uint64(0x5555555555555555))
+    fours = np.uint64(0x3333333333333333)
+    upto = (upto & fours) + (upto >> np.uint64(2) & fours)
+    upto = (upto + (upto >> np.uint64(4)) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _EACH
+    passed = np.bitwise_count((rank * _EACH | _TOP) - upto & _TOP).astype(np.uint64) << np.uint64(3)
+    before = (upto << np.uint64(8)) >> passed & np.uint64(255)
+    byte = words >> passed & np.uint64(255)
+    return passed.astype(np.int64) + _in_byte[(byte << np.uint64(3)) + (rank - before)]
 
 
 class EliasFano:
@@ -127,7 +135,7 @@ class EliasFano:
         at = 8 * (_HEADER + 2 * parts)
         found = []
         for length, item in zip(sizes[::2].tolist(), sizes[1::2].tolist(), strict=True):
-            found.append(raw[at : at + length * item].view(f"u{item}"))
+            found.append(np.asarray(raw[at : at + length * item].view(f"u{item}")))
             at += -(-length * item // 8) * 8
         self.upper, self.zeros, self.low = found[:3]
         self.columns = found[3:]
@@ -163,9 +171,17 @@ class EliasFano:
         high = (keys >> np.uint64(self.width)).astype(np.int64)
         open_ = np.flatnonzero((high >= 0) & (high < self.buckets))
         high = high[open_]
-        ends = self._zero(np.concatenate([high, np.maximum(high - 1, 0)]))
-        stop = ends[: len(high)] - high
-        start = np.where(high > 0, ends[len(high) :] - (high - 1), 0)
+        # a bucket's members follow the zero that ends the bucket before
+        place = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1, 0)
+        start = place - high
+        word, shift = place >> 6, (place & 63).astype(np.uint64)
+        following = self.upper[np.minimum(word + 1, len(self.upper) - 1)]
+        run = self.upper[word] >> shift | following << (np.uint64(63) - shift) << _one
+        size = np.bitwise_count((run ^ run + _one) >> _one).astype(np.int64)
+        long = np.flatnonzero(size >= 63)
+        if len(long):
+            size[long] = self._zero(high[long]) - place[long]
+        stop = start + size
         some = stop > start
         open_, start, stop = open_[some], start[some], stop[some]
         if self.width == 0:
