@@ -32,6 +32,9 @@ from entiva.session import Workspace
 BANDS = 36
 ROWS = 5
 
+#: Bytes of text whose words are shingled together; what a worker holds is many times that.
+SHINGLED_BYTES = 1 << 18
+
 #: Classes by which shingles are counted to rule out pairs.
 CLASSES = 64
 
@@ -44,7 +47,7 @@ def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
     A text with fewer words than ``size`` is one shingle, one without words has none.
     """
     base, step, short = _SHINGLE
-    for _, block in in_blocks(texts):
+    for _, block in in_blocks(texts, SHINGLED_BYTES):
         words, bounds = hashed_words(block)
         count = max(0, len(words) - size + 1)
         rolled = np.zeros(count, np.uint64)
@@ -159,6 +162,17 @@ def compared(
     )
 
 
+def shingle_rows(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """``node, component, shingle`` for each shingle of the texts of ``node, component, text``."""
+    ids = batch.select([0, 1])  # the text is not repeated with them
+    for i, one in enumerate(shingle_sets(batch.column(2).to_pylist(), size)):
+        same = ids.slice(i, 1).take(pa.array(np.zeros(len(one), np.int32)))
+        yield pa.RecordBatch.from_arrays(
+            [same.column(0), same.column(1), pa.array(one.view(np.int64))],
+            names=["node", "component", "shingle"],
+        )
+
+
 def loose_shingles(
     nodes: DataFrame, documents: DataFrame, id_column: str, text_column: str, size: int
 ) -> DataFrame:
@@ -171,12 +185,7 @@ def loose_shingles(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            for i, one in enumerate(shingle_sets(batch.column(2).to_pylist(), size)):
-                ids = batch.slice(i, 1).take(pa.array(np.zeros(len(one), np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [ids.column(0), ids.column(1), pa.array(one.view(np.int64))],
-                    names=["node", "component", "shingle"],
-                )
+            yield from shingle_rows(batch, size)
 
     return (
         nodes.join(texts, "node")
