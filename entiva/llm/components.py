@@ -18,12 +18,23 @@ def _star(links: DataFrame, least: DataFrame, upward: bool) -> DataFrame:
     return own.unionByName(rest)
 
 
+def _tangled(links: DataFrame) -> bool:
+    """Whether a node has several links upwards, or one while others hang on it."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return bool(nodes.agg(F.bool_or(F.col("up") + F.col("down") > 1)).first()[0])
+
+
 def components(links: DataFrame, workspace: Workspace, label: str) -> DataFrame:
-    """``node, component`` of every node with a link ``a, b``; the least node names it.
+    """``node, component`` of every node with a link ``a, b`` but the least of its component,
+    which names it.
 
-    Alternates two steps that hang neighbours on the least node around, until nothing
-    changes; the number of rounds grows with the logarithm of the longest chain. Each round
-    is written to the shared folder, and nothing but two numbers reaches the driver.
+    Alternates two steps that hang neighbours on the least node around, until only stars are
+    left; the number of rounds grows with the logarithm of the longest chain. Each round is
+    written to the shared folder, and nothing but one truth value reaches the driver.
     """
     current = workspace.keep(
         links.filter("a <> b")
@@ -31,15 +42,8 @@ def components(links: DataFrame, workspace: Workspace, label: str) -> DataFrame:
         .distinct(),
         f"{label}_round_0",
     )
-    state = None
     turn = 0
-    while True:
-        fingerprint = current.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
-        if fingerprint == state or not fingerprint[0]:
-            break
-        state = fingerprint
+    while _tangled(current):
         turn += 1
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))

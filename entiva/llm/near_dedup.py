@@ -276,14 +276,17 @@ def near_groups(
     labels = workspace.keep(components(known.filter(similar), workspace, "0"), "labels_0")
 
     def relabel(new: DataFrame, turn: str) -> DataFrame:
-        """Components once more: the old ones, and new links between their names."""
+        """Components once more: new links join the names of old ones, and what had these
+        names takes the new ones."""
         named = new
         for end in ("a", "b"):
             names = labels.toDF(end, f"of_{end}")
             named = named.join(names, end, "left").withColumn(end, F.coalesce(f"of_{end}", end))
-        old = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
-        links = old.unionByName(named.select("a", "b"))
-        return workspace.keep(components(links, workspace, turn), f"labels_{turn}")
+        merged = components(named.select("a", "b"), workspace, turn)
+        moved = labels.join(merged.toDF("component", "into"), "component", "left").select(
+            "node", F.coalesce("into", "component").alias("component")
+        )
+        return workspace.keep(moved.unionByName(merged), f"labels_{turn}")
 
     def open_buckets(turn: int) -> DataFrame:
         """The rows of buckets that hold several components."""
