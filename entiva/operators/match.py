@@ -133,7 +133,7 @@ def levenshtein_pairs(
     """Every pair of names whose texts score ``cutoff`` or more, once each.
 
     ``left`` and ``right`` hold distinct ``name`` and the ``text`` to compare. The edit distance
-    is a condition on the candidates, so only true matches are told apart by name.
+    is a condition on the candidates, which are texts; only true matches are given their names.
     """
     if not 0 <= cutoff <= 100:
         raise ValueError(f"cutoff {cutoff} is not between 0 and 100")
@@ -142,11 +142,15 @@ def levenshtein_pairs(
     distance = F.call_function(
         "levenshtein", F.col("left_text"), F.col("right_text"), levenshtein_allowance(longer, cutoff)
     )
-    return (
+    found = (
         pairs.filter(distance >= 0)
-        .select("left", "right", levenshtein_score(distance, longer).alias("score"))
+        .select("left_text", "right_text", levenshtein_score(distance, longer).alias("score"))
         .distinct()
     )
+    for side, names in (("left", left), ("right", right)):
+        named = names.select(F.col("name").alias(side), F.col("text").alias(f"{side}_text"))
+        found = found.join(named, f"{side}_text")
+    return found.select("left", "right", "score")
 
 
 def _longer() -> Column:
