@@ -47,17 +47,25 @@ def fold_compatibility(c: Column) -> Column:
     single, several = folding_tables()
     pairs = "|".join(f"{char}={kept}" for char, kept in several.items())
     table = F.str_to_map(F.lit(pairs), F.lit("[|]"), F.lit("="))
+    folded = F.translate(c, "".join(single), "".join(single.values()))
     expanded = F.array_join(
-        F.transform(F.split(c, ""), lambda char: F.coalesce(F.try_element_at(table, char), char)),
+        F.transform(
+            F.split(folded, ""), lambda char: F.coalesce(F.try_element_at(table, char), char)
+        ),
         "",
     )
     # Deleting the characters and comparing is several times faster than a regex class.
-    has_several = F.translate(c, "".join(several), "") != c
-    folded = F.translate(
-        F.when(has_several, expanded).otherwise(c), "".join(single), "".join(single.values())
+    has_several = F.translate(folded, "".join(several), "") != folded
+    # Most names are plain ASCII, which has nothing to fold, and most others are once folded.
+    return (
+        F.when(_is_ascii(c), c)
+        .when(_is_ascii(folded) | ~has_several, folded)
+        .otherwise(expanded)
     )
-    # most names are plain ASCII, which has nothing to fold
-    return F.when(F.octet_length(c) == F.length(c), c).otherwise(folded)
+
+
+def _is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
 
 
 # The accented capitals that the regex name rule folds, and their plain letters.
