@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entiva.llm.common import text_or_empty
+from entiva.llm.line_dedup import sifted
 from entiva.session import Workspace
 
 #: Marks, from the private use area: a word that is a name; a separator inside a number; then
@@ -60,7 +61,8 @@ def typed(words: Column) -> Column:
 
 def template(typed_words: Column) -> Column:
     """One placeholder for every run of marked names."""
-    return F.regexp_replace(typed_words, rf"{MARK}[^ ]+(?: {MARK}[^ ]+)*", NAME)
+    # possessive, so that a long run is a loop and not a call for each of its names
+    return F.regexp_replace(typed_words, rf"{MARK}[^ ]++(?: {MARK}[^ ]++)*+", NAME)
 
 
 def unmarked(words: Column) -> Column:
@@ -159,11 +161,15 @@ def sought(texts: DataFrame, window: int, least_literals: int, short: bool) -> D
 
 
 def readings(rows: DataFrame, window: int) -> DataFrame:
-    """Every reading of ``raw``: its words and, of each, the value in the text."""
-    own = [c for c in rows.columns if c != "raw"]
+    """Every reading of ``raw``, or those in the column ``wanted``: its words and, of each, the
+    value in the text."""
+    some = "wanted" in rows.columns
+    own = [c for c in rows.columns if c not in ("raw", "wanted")]
+    wanted = ["wanted"] if some else []
     # arrays are columns before they are indexed, so that no text is split once per word
     rows = rows.withColumn("typed", typed(F.col("raw"))).select(
         *own,
+        *wanted,
         "typed",
         F.split("typed", " ").alias("typed_words"),
         F.split(F.lower(unmarked(F.col("raw"))), " ").alias("values"),
@@ -176,9 +182,10 @@ def readings(rows: DataFrame, window: int) -> DataFrame:
     first = F.filter("values", lambda v, i: ~in_run(i))
 
     def reading(kind: str, words: Column, own_values: Column) -> Column:
-        return F.struct(
+        made = F.struct(
             F.lit(kind).alias("reading"), words.alias("words"), own_values.alias("values")
         )
+        return F.when(F.array_contains("wanted", kind), made) if some else made
 
     return (
         rows.select(
@@ -196,20 +203,25 @@ def readings(rows: DataFrame, window: int) -> DataFrame:
                 )
             ),
         )
+        .filter("reading is not null")
     )
 
 
-def placed(rows: DataFrame, window: int) -> DataFrame:
-    """``place``, ``hash`` and number of ``literals`` of every window of ``words``."""
+def placed(rows: DataFrame, window: int, valued: bool = False) -> DataFrame:
+    """``place``, ``hash`` and number of ``literals`` of every window of ``words``; instead of the
+    number the ``values`` of its words if ``valued``, of windows with a placeholder."""
     own = [c for c in rows.columns if c not in ("words", "values")]
     size = F.when(F.col("reading") == SHORT, window - 1).otherwise(window)
 
     def window_at(i: Column) -> Column:
         part = F.slice("words", i + 1, size)
+        slots = F.col("reading").isin(NAMES, PLAIN) & F.exists(part, is_placeholder)
         return F.struct(
             i.alias("place"),
             F.xxhash64(part).alias("hash"),
-            F.size(F.filter(part, lambda w: ~is_placeholder(w))).alias("literals"),
+            F.when(slots, F.slice("values", i + 1, size)).alias("values")
+            if valued
+            else F.size(F.filter(part, lambda w: ~is_placeholder(w))).alias("literals"),
         )
 
     return rows.select(
@@ -250,8 +262,9 @@ def contaminated(
     Items with ``window - 1`` words are found by their raw words. Items with fewer words match
     nothing; null and empty texts and rows with a null id neither. Repeated documents give
     repeated pairs only once per id. An empty table on either side gives no rows; other columns
-    are ignored. Windows of documents are stored only of texts that can hold an item; the hits
-    and the benchmark's windows are, in the shared folder.
+    are ignored. Windows of documents are stored only of texts that can hold an item, and only
+    those that an item has, each with its values; the hits and the benchmark's windows are, in
+    the shared folder.
     """
     workspace = workspace or Workspace(documents.sparkSession)
     items = workspace.keep(
@@ -347,23 +360,26 @@ def contaminated(
         .select(*key, "total"),
         "possible",
     )
-    own = workspace.keep(
-        readings(
-            texts.join(possible.select("doc_id", "text_key").distinct(), ["doc_id", "text_key"])
-            .dropDuplicates(["doc_id", "text_key"])
-            .select("doc_id", "text_key", raw_words(F.col("text")).alias("raw")),
-            window,
-        ).join(
-            possible.select("doc_id", "text_key", "reading").distinct(),
-            ["doc_id", "text_key", "reading"],
-            "left_semi",
-        ),
-        "own_words",
+    # a text's words are taken one text at a time and never stored: read again, they would be
+    # arrays of whole texts, thousands of them in one batch of the reader
+    text = ("doc_id", "text_key")
+    wanted = workspace.keep(
+        possible.groupBy(*text).agg(F.collect_set("reading").alias("wanted")), "wanted"
+    )
+    # the sieve leaves out most texts, so that these are not dealt out where many are wanted
+    own = (
+        sifted(texts, wanted, text)
+        .dropDuplicates([*text])
+        .select(*text, "wanted", raw_words(F.col("text")).alias("raw"))
+    )
+    # of their windows only those of some item are dealt out
+    own_windows = placed(readings(own, window), window, valued=True).join(
+        of_items.select("reading", "hash"), ["reading", "hash"], "left_semi"
     )
     hits = workspace.keep(
         possible.join(of_items.drop("sought"), ["item", "reading"])
-        .join(placed(own, window).drop("literals"), ["doc_id", "text_key", "reading", "hash"])
-        .select(*key, "total", "item_place", "place", "weight"),
+        .join(own_windows, ["doc_id", "text_key", "reading", "hash"])
+        .select(*key, "total", "item_place", "place", "weight", "values"),
         "window_hits",
     )
     found = (
@@ -398,33 +414,39 @@ def contaminated(
         .agg(F.count("*").alias("n"), F.collect_set("item_place").alias("covered"))
         .withColumn("copy", F.sum("n").over(nearby))
     )
-    covers = F.exists(
-        "covered", lambda p: (p <= F.col("at")) & (F.col("at") < p + window)
+    covering = F.array_min(
+        F.filter("covered", lambda p: (p <= F.col("at")) & (F.col("at") < p + window))
     )
+    # a window found has the item's words, so a value of the same kind stands in each slot of it
     seen = (
         shifts.join(slots, ["item", "reading"])
-        .filter(covers)
+        .withColumn("item_place", covering)
+        .filter("item_place is not null")
         .groupBy(*key, "at", "word", "value")
-        .agg(F.max_by("shift", F.struct("copy", "n", -F.col("shift"))).alias("shift"))
-        .join(own, ["doc_id", "text_key", "reading"])
-        .withColumn("place", F.col("at") + F.col("shift") + 1)
+        .agg(
+            F.max_by(
+                F.struct("item_place", (F.col("item_place") + F.col("shift")).alias("place")),
+                F.struct("copy", "n", -F.col("shift")),
+            ).alias("by")
+        )
+        .select(*key, "at", "word", "value", "by.*")
+        .join(
+            hits.select(*key, "item_place", "place", "values"), [*key, "item_place", "place"]
+        )
         .select(
             *key,
             "word",
             "value",
-            F.element_at("values", F.col("place").cast("int")).alias("own_value"),
-            (F.element_at("words", F.col("place").cast("int")) == F.col("word")).alias(
-                "same_kind"
-            ),
+            F.get("values", F.col("at") - F.col("item_place")).alias("own_value"),
         )
     )
     by_value = (
         seen.groupBy(*key, "word", "value", "own_value")
-        .agg(F.count("*").alias("n"), F.max("same_kind").alias("same_kind"))
+        .agg(F.count("*").alias("n"))
         .groupBy(*key, "word", "value")
         .agg(
             F.sum("n").alias("n"),
-            F.max(F.when(F.col("same_kind"), F.col("n")).otherwise(0)).alias("agreed"),
+            F.max("n").alias("agreed"),
             F.min(F.col("own_value") == F.col("value")).alias("unchanged"),
         )
         .groupBy(*key)

@@ -83,26 +83,27 @@ def sharing(lines: DataFrame, keys: str) -> DataFrame:
 
 #: A sieve has one to this many buckets of 63 bits, so what is broadcast is bounded.
 MOST_BUCKETS = 1 << 20
-BIT = "shiftleft(1L, cast(pmod(shiftright(xxhash64(line), 24), 63) as int))"
 
 
-def sifted(rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """The ``rows`` whose ``line`` is among the distinct ones of ``lines``.
+def sifted(rows: DataFrame, lines: DataFrame, key: tuple[str, ...] = ("line",)) -> DataFrame:
+    """The ``rows`` whose ``key`` is among the distinct ones of ``lines``, with the columns of both.
 
     A sieve of the lines' hashes, eight bits a line up to the bound, leaves out most other rows
     before the exact join; a fuller one leaves out fewer.
     """
     buckets = min(MOST_BUCKETS, 1 << (lines.count() // 8).bit_length())
-    bucket = F.expr(f"pmod(xxhash64(line), {buckets})")
-    bits = lines.groupBy(bucket.alias("bucket")).agg(F.expr(f"bit_or({BIT})").alias("bits"))
+    place = f"xxhash64({', '.join(key)})"
+    bit = f"shiftleft(1L, cast(pmod(shiftright({place}, 24), 63) as int))"
+    bucket = F.expr(f"pmod({place}, {buckets})")
+    bits = lines.groupBy(bucket.alias("bucket")).agg(F.expr(f"bit_or({bit})").alias("bits"))
     passed = (
         rows.withColumn("bucket", bucket)
         .join(F.broadcast(bits), "bucket")
-        .filter(f"bits & {BIT} <> 0")
+        .filter(f"bits & {bit} <> 0")
         .drop("bucket", "bits")
     )
     # no semi join: that one would be moved ahead of the sieve
-    return passed.join(lines, "line")
+    return passed.join(lines, list(key))
 
 
 def place_of(rows: DataFrame) -> Column:
